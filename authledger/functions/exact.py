@@ -1,57 +1,92 @@
-"""Exact money and rate arithmetic.
+"""Exact money and rate arithmetic on double columns.
 
 Sums of doubles depend on the order Spark adds them in, so a rounded mean can
-change between two runs. Amounts and rates are therefore added as decimals,
-rounded half up once, and only turned into doubles in the stored columns.
+change between two runs. Here amounts and rates are added as whole numbers
+(``bigint`` sums stay in the fast hash aggregate), divided as decimals and
+rounded half up once. Stored columns are doubles again.
+
+Raw amounts are exact to four digits after the point; an amount of a trillion
+or more, an infinity or a NaN counts as no amount.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
-AMOUNT = "decimal(18,4)"
-CENTS = "decimal(18,2)"
-RATE = "decimal(5,4)"
-COUNT = "decimal(12,0)"
+AMOUNT_LIMIT = 1e12
 # Widths that keep at least 14 digits after the point in a Spark decimal division.
 SUM = "decimal(28,4)"
-PRODUCT = "decimal(28,6)"
-
-
-def amount(col: Column) -> Column:
-    """Raw money as delivered; junk beyond the type becomes NULL."""
-    return col.try_cast(AMOUNT)
+COUNT = "decimal(12,0)"
+WHOLE = "decimal(20,0)"
 
 
-def cents(col: Column) -> Column:
-    """Money that is already rounded to cents."""
-    return col.cast(CENTS)
+def cents(money: Column) -> Column:
+    """Money rounded to two digits, as a whole number of cents."""
+    return F.rint(money * 100).try_cast("bigint")
 
 
-def rate(col: Column) -> Column:
-    """A share in [0, 1] that is already rounded to four digits."""
-    return col.cast(RATE)
+def points(rate: Column) -> Column:
+    """A rate rounded to four digits, as a whole number of 1/10000."""
+    return F.rint(rate * 10000).try_cast("bigint")
 
 
-def count(col: Column) -> Column:
-    return col.cast(COUNT)
+def half_up(value: Column, step: int) -> Column:
+    """Whole number / even step, rounded to the nearest whole number, ties away from 0."""
+    up = F.call_function("div", F.abs(value) + F.lit(step // 2), F.lit(step))
+    return F.when(value < 0, -up).otherwise(up)
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Quotient rounded half up once; NULL when the denominator is 0 or NULL."""
+    """Decimal quotient rounded half up once; NULL when the denominator is 0 or NULL."""
     return F.round(F.try_divide(numerator, denominator), digits)
 
 
-def mean(col: Column, digits: int) -> Column:
-    """Aggregate: mean of a decimal column, NULLs left out."""
-    return ratio(F.sum(col).cast(SUM), count(F.count(col)), digits)
+def double(col: Column) -> Column:
+    return col.cast("double")
 
 
-def complement_of_mean(col: Column, digits: int) -> Column:
-    """Aggregate: 1 - mean of a rate column."""
-    n = F.count(col)
-    return ratio((count(n) - F.sum(col)).cast(SUM), count(n), digits)
+def _scaled(whole_sum: Column, unit: str) -> Column:
+    return (whole_sum.cast(WHOLE) * F.lit(Decimal(unit))).cast(SUM)
 
 
-def double(col: Column) -> Column:
-    return col.cast("double")
+def count_of(n: Column) -> Column:
+    return n.cast(COUNT)
+
+
+# --- aggregates -------------------------------------------------------------
+
+
+def mean_amount(amount: Column, digits: int) -> Column:
+    """Mean of a raw amount column, NULLs left out."""
+    usable = F.when(F.abs(amount) < AMOUNT_LIMIT, amount)
+    whole = F.floor(usable)
+    fraction = F.rint((usable - whole) * 10000).cast("bigint")
+    total = _scaled(F.sum(whole), "1") + _scaled(F.sum(fraction), "0.0001")
+    return ratio(total.cast(SUM), count_of(F.count(usable)), digits)
+
+
+def total_cents(money: Column) -> Column:
+    """Sum of a cents column as decimal dollars; the parts cannot overflow on their own."""
+    value = cents(money)
+    dollars = F.call_function("div", value, F.lit(100))
+    return (_scaled(F.sum(dollars), "1") + _scaled(F.sum(value - dollars * 100), "0.01")).cast(SUM)
+
+
+def mean_cents(money: Column, digits: int) -> Column:
+    return ratio(total_cents(money), count_of(F.count(money)), digits)
+
+
+def total_rate(rate: Column) -> Column:
+    return _scaled(F.sum(points(rate)), "0.0001")
+
+
+def mean_rate(rate: Column, digits: int) -> Column:
+    return ratio(total_rate(rate), count_of(F.count(rate)), digits)
+
+
+def complement_of_mean_rate(rate: Column, digits: int) -> Column:
+    """1 - mean of a rate column."""
+    n = count_of(F.count(rate))
+    return ratio((n - total_rate(rate)).cast(SUM), n, digits)
