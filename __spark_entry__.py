@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import operator
 import os
 import sys
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,46 +24,92 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Model:
-    """The chain of tables over one set of sample tables, all lazy."""
+    """The chain of tables over one set of sample tables; each is defined when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.silver = sample_tables.silver(spark, sf_dir)
-        self.profile = profiles.patient_profile(
-            self.silver["claims"], self.silver["explanations"], self.silver["coverages"]
-        )
-        insured = profiles.with_payer(self.profile)
-        self.rates = scoring.procedure_approval_rates(insured)
-        self.performance = scoring.payer_performance(insured)
-        self.scores = scoring.pa_risk_scores(self.silver["prior_auth"], insured)
-        self.staged_rates = staging.stg_approval_rates(self.rates)
-        self.staged_performance = staging.stg_payer_performance(self.performance)
-        self.staged_scores = staging.stg_pa_risk_scores(self.scores)
-        self.marts = jobs.mart_tables(self.rates, self.performance, self.scores)
-        self.scorecard = serving.view_pa_compliance_scorecard(self.marts["mart_pa_compliance_scorecard"])
-        self.revenue = serving.view_revenue_at_risk(self.marts["mart_revenue_at_risk"])
-        self.benchmarks = serving.view_payer_benchmarks(
-            self.marts["mart_payer_benchmarks"], self.performance
+
+    def silver(self, table: str) -> DataFrame:
+        return sample_tables.SILVER[table](self.spark, self.sf_dir)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return profiles.patient_profile(
+            self.silver("claims"), self.silver("explanations"), self.silver("coverages")
         )
 
+    @cached_property
+    def insured(self) -> DataFrame:
+        return profiles.with_payer(self.profile)
+
+    @cached_property
+    def rates(self) -> DataFrame:
+        return scoring.procedure_approval_rates(self.insured)
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        return scoring.payer_performance(self.insured)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return scoring.pa_risk_scores(self.silver("prior_auth"), self.insured)
+
+    @cached_property
+    def staged_rates(self) -> DataFrame:
+        return staging.stg_approval_rates(self.rates)
+
+    @cached_property
+    def staged_performance(self) -> DataFrame:
+        return staging.stg_payer_performance(self.performance)
+
+    @cached_property
+    def staged_scores(self) -> DataFrame:
+        return staging.stg_pa_risk_scores(self.scores)
+
+    @cached_property
+    def mart_pa_compliance_scorecard(self) -> DataFrame:
+        return marts.mart_pa_compliance_scorecard(self.staged_performance, self.staged_scores)
+
+    @cached_property
+    def mart_revenue_at_risk(self) -> DataFrame:
+        return marts.mart_revenue_at_risk(self.staged_rates)
+
+    @cached_property
+    def mart_payer_benchmarks(self) -> DataFrame:
+        return marts.mart_payer_benchmarks(self.staged_rates)
+
+    @cached_property
+    def mart_high_risk_pa_requests(self) -> DataFrame:
+        return marts.mart_high_risk_pa_requests(self.staged_scores)
+
+    @cached_property
+    def scorecard(self) -> DataFrame:
+        return serving.view_pa_compliance_scorecard(self.mart_pa_compliance_scorecard)
+
+    @cached_property
+    def revenue(self) -> DataFrame:
+        return serving.view_revenue_at_risk(self.mart_revenue_at_risk)
+
+    @cached_property
+    def benchmarks(self) -> DataFrame:
+        return serving.view_payer_benchmarks(self.mart_payer_benchmarks, self.performance)
+
     def bundles(self) -> DataFrame:
         return sample_tables.bundles(self.spark, self.sf_dir)
 
     def resources(self) -> DataFrame:
         return bundles.resources(self.bundles())
 
-    def checked_tables(self) -> dict[str, DataFrame]:
-        return {
-            **self.silver,
+    def report(self) -> DataFrame:
+        checked = {
+            **sample_tables.silver(self.spark, self.sf_dir),
             "pa_risk_scores": self.scores,
             "procedure_approval_rates": self.rates,
             "payer_performance": self.performance,
-            **self.marts,
+            **{name: getattr(self, name) for name in quality.MART_MINIMUM_ROWS},
         }
-
-    def report(self) -> DataFrame:
         minimums = {**quality.MINIMUM_ROWS, **quality.MART_MINIMUM_ROWS}
-        return quality.quality_report(self.spark, self.checked_tables(), minimums)
+        return quality.quality_report(self.spark, checked, minimums)
 
 
 def over_model(build: Callable[[Model], DataFrame]) -> Query:
@@ -185,7 +232,7 @@ def fn_safe_cast(m: Model) -> DataFrame:
 
 def stored(m: Model, table: str) -> DataFrame:
     root = scratch_dir(m.spark, "tables")
-    tables.write_table(m.silver[table], root, table)
+    tables.write_table(m.silver(table), root, table)
     return tables.read_table(m.spark, root, table)
 
 
@@ -194,7 +241,7 @@ def catalog_tables(m: Model) -> DataFrame:
     tables.create_database(m.spark, database, f"{root}/{database}")
     counted = {}
     for table in ("patients", "claims"):
-        tables.write_table(m.silver[table], root, table)
+        tables.write_table(m.silver(table), root, table)
         tables.register_table(m.spark, root, table, database)
         counted[table] = m.spark.table(f"{database}.{table}")
     partition = F.when(F.col("table_name") == "claims", schemas.PARTITION_COLUMNS["claims"])
@@ -232,9 +279,9 @@ def queries() -> dict[str, Query]:
         "fn_event_year": fn_event_year,
         "fn_safe_cast": fn_safe_cast,
         # profiles and gold
-        "eob_by_patient": lambda m: profiles.eob_by_patient(m.silver["explanations"]),
-        "claims_by_patient": lambda m: profiles.claims_by_patient(m.silver["claims"]),
-        "coverage_current": lambda m: profiles.coverage_current(m.silver["coverages"]),
+        "eob_by_patient": lambda m: profiles.eob_by_patient(m.silver("explanations")),
+        "claims_by_patient": lambda m: profiles.claims_by_patient(m.silver("claims")),
+        "coverage_current": lambda m: profiles.coverage_current(m.silver("coverages")),
         "patient_profile": lambda m: m.profile,
         "procedure_approval_rates": lambda m: m.rates,
         "payer_performance": lambda m: m.performance,
@@ -242,16 +289,14 @@ def queries() -> dict[str, Query]:
         "report_risk_tiers": lambda m: scoring.report_risk_tiers(m.scores),
         "report_risk_by_payer": lambda m: scoring.report_risk_by_payer(m.scores),
         "step_counts": lambda m: jobs.step_counts(
-            m.silver["claims"], m.silver["explanations"], m.silver["coverages"], m.silver["prior_auth"]
+            m.silver("claims"), m.silver("explanations"), m.silver("coverages"), m.silver("prior_auth")
         ),
         # staging and marts
         "stg_approval_rates": lambda m: m.staged_rates,
         "stg_payer_performance": lambda m: m.staged_performance,
         "stg_pa_risk_scores": lambda m: m.staged_scores,
         "payer_summary": lambda m: marts.payer_summary(m.staged_rates),
-        **{
-            name: partial(lambda m, n: m.marts[n], n=name) for name in quality.MART_MINIMUM_ROWS
-        },
+        **{name: operator.attrgetter(name) for name in quality.MART_MINIMUM_ROWS},
         # serving
         "view_pa_compliance_scorecard": lambda m: m.scorecard,
         "view_revenue_at_risk": lambda m: m.revenue,

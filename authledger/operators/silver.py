@@ -1,14 +1,8 @@
-"""Typed tables out of resource JSON, one per resource type.
-
-Each resource is parsed once with the narrow schema of its type. Leaves are
-strings, so a number where text is due (or the reverse) stays readable, and a
-part of the wrong shape becomes NULL without losing the rest.
-"""
+"""Typed tables out of parsed bundle resources, one per resource type."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,17 +16,7 @@ from authledger.functions.references import (
     year_of,
 )
 
-REFERENCE = "struct<reference: string>"
-CODINGS = "array<struct<code: string>>"
-PERIOD = "struct<start: string, end: string>"
-CONCEPT = f"struct<coding: {CODINGS}, text: string>"
-
-
-@dataclass(frozen=True)
-class Projection:
-    resource_type: str
-    schema: str
-    columns: Callable[[Column, Column], dict[str, Column]]
+Columns = Callable[[Column, Column], dict[str, Column]]
 
 
 def first(array: Column) -> Column:
@@ -48,14 +32,13 @@ def patient_of(link: Column) -> Column:
 
 
 def _patients(r: Column, rid: Column) -> dict[str, Column]:
-    home = first(r["address"])
     return {
         "patient_id": rid,
         "birth_date": r["birthDate"],
         "gender": r["gender"],
-        "state": home["state"],
-        "city": home["city"],
-        "postal_code": home["postalCode"],
+        "state": F.get_json_object(r["address"], "$[0].state"),
+        "city": F.get_json_object(r["address"], "$[0].city"),
+        "postal_code": F.get_json_object(r["address"], "$[0].postalCode"),
         "marital_status": r["maritalStatus"]["text"],
     }
 
@@ -70,8 +53,8 @@ def _claims(r: Column, rid: Column) -> dict[str, Column]:
         "patient_id": patient_of(r["patient"]),
         "provider_id": referenced_id(r["provider"]["reference"], PRACTITIONER_REFERENCE),
         "payer_id": referenced_id(r["insurer"]["reference"], ORGANIZATION_REFERENCE),
-        "total_submitted_charge": number_of(r["total"]["value"]),
-        "claim_type": first_code(r["type"]),
+        "total_submitted_charge": number_of(F.get_json_object(r["total"], "$.value")),
+        "claim_type": F.get_json_object(r["type"], "$.coding[0].code"),
         "primary_diagnosis_code": first_code(diagnosis),
         "primary_diagnosis_desc": diagnosis["text"],
     }
@@ -101,7 +84,7 @@ def _coverages(r: Column, rid: Column) -> dict[str, Column]:
         "payer_name": first(r["payor"])["display"],
         "coverage_start": r["period"]["start"],
         "coverage_end": r["period"]["end"],
-        "coverage_type": r["type"]["text"],
+        "coverage_type": F.get_json_object(r["type"], "$.text"),
     }
 
 
@@ -129,7 +112,7 @@ def _encounters(r: Column, rid: Column) -> dict[str, Column]:
         "encounter_year": year_of(r["period"]["start"]),
         "patient_id": patient_of(r["subject"]),
         "encounter_class": r["class"]["code"],
-        "encounter_type": first(r["type"])["text"],
+        "encounter_type": F.get_json_object(r["type"], "$[0].text"),
         "encounter_start": r["period"]["start"],
         "encounter_end": r["period"]["end"],
         "provider_name": r["serviceProvider"]["display"],
@@ -148,104 +131,37 @@ def _conditions(r: Column, rid: Column) -> dict[str, Column]:
     }
 
 
-PROJECTIONS = {
-    "patients": Projection(
-        "Patient",
-        "birthDate string, gender string, maritalStatus struct<text: string>, "
-        "address array<struct<state: string, city: string, postalCode: string>>",
-        _patients,
-    ),
-    "claims": Projection(
-        "Claim",
-        f"status string, created string, patient {REFERENCE}, provider {REFERENCE}, "
-        f"insurer {REFERENCE}, total struct<value: string>, type {CONCEPT}, "
-        f"diagnosis array<struct<diagnosisCodeableConcept: {CONCEPT}>>",
-        _claims,
-    ),
-    "explanations": Projection(
-        "ExplanationOfBenefit",
-        f"status string, outcome string, created string, patient {REFERENCE}, claim {REFERENCE}, "
-        f"payment struct<amount: struct<value: string>>, "
-        f"insurance array<struct<preAuthRef: array<string>, coverage: {REFERENCE}>>",
-        _explanations,
-    ),
-    "coverages": Projection(
-        "Coverage",
-        f"status string, beneficiary {REFERENCE}, payor array<struct<display: string>>, "
-        f"period {PERIOD}, type struct<text: string>",
-        _coverages,
-    ),
-    "prior_auth": Projection(
-        "ServiceRequest",
-        f"status string, intent string, subject {REFERENCE}, code {CONCEPT}, authoredOn string, "
-        f"reasonCode array<{CONCEPT}>, requester {REFERENCE}",
-        _prior_auth,
-    ),
-    "encounters": Projection(
-        "Encounter",
-        f"status string, subject {REFERENCE}, class struct<code: string>, "
-        f"type array<struct<text: string>>, period {PERIOD}, "
-        f"serviceProvider struct<display: string>",
-        _encounters,
-    ),
-    "conditions": Projection(
-        "Condition",
-        f"subject {REFERENCE}, code {CONCEPT}, onsetDateTime string, abatementDateTime string, "
-        f"clinicalStatus struct<coding: {CODINGS}>",
-        _conditions,
-    ),
+# Table -> resource type and its columns.
+PROJECTIONS: dict[str, tuple[str, Columns]] = {
+    "patients": ("Patient", _patients),
+    "claims": ("Claim", _claims),
+    "explanations": ("ExplanationOfBenefit", _explanations),
+    "coverages": ("Coverage", _coverages),
+    "prior_auth": ("ServiceRequest", _prior_auth),
+    "encounters": ("Encounter", _encounters),
+    "conditions": ("Condition", _conditions),
 }
 
 
 def silver_table(resource_rows: DataFrame, table: str) -> DataFrame:
-    """One typed table out of (resource, resource_type, resource_id) rows."""
-    spec = PROJECTIONS[table]
-    parsed = resource_rows.filter(F.col("resource_type") == spec.resource_type).select(
-        "resource_id", F.from_json("resource", spec.schema).alias("r")
-    )
-    return parsed.select(
-        *[c.alias(name) for name, c in spec.columns(F.col("r"), F.col("resource_id")).items()]
+    """One typed table out of (resource_type, resource_id, r) rows."""
+    resource_type, columns = PROJECTIONS[table]
+    named = columns(F.col("r"), F.col("resource_id"))
+    return resource_rows.filter(F.col("resource_type") == resource_type).select(
+        *[column.alias(name) for name, column in named.items()]
     )
 
 
-def silver_rows(resource_rows: DataFrame) -> DataFrame:
-    """All seven tables in one frame: each row fills the struct column of its table.
+def staged_rows(resource_rows: DataFrame) -> DataFrame:
+    """Resource rows labelled with the table they go to.
 
     Written once, partitioned by ``target``, this lets seven tables be built from
-    a single parse of the bundles, and what is written is the size of the tables,
-    not of the JSON.
+    a single parse of the bundles, and what is written is the parts that the
+    tables read, not the JSON.
     """
-    kind = F.col("resource_type")
     target = F.when(F.col("rejected_text").isNotNull(), "quarantine")
-    for table, spec in PROJECTIONS.items():
-        target = target.when(kind == spec.resource_type, table)
-    # Parsed in a projection of its own, so that every column of a row shares one parse.
-    parsed = resource_rows.select(
-        "file_path",
-        "rejected_text",
-        "resource_type",
-        "resource_id",
-        target.otherwise("other").alias("target"),
-        *[
-            F.when(kind == spec.resource_type, F.from_json("resource", spec.schema)).alias(table)
-            for table, spec in PROJECTIONS.items()
-        ],
-    )
-    return parsed.select(
-        "file_path",
-        "rejected_text",
-        "resource_type",
-        *[
-            F.when(
-                F.col("target") == table,
-                F.struct(
-                    *[
-                        c.alias(name)
-                        for name, c in spec.columns(F.col(table), F.col("resource_id")).items()
-                    ]
-                ),
-            ).alias(table)
-            for table, spec in PROJECTIONS.items()
-        ],
-        "target",
+    for table, (resource_type, _) in PROJECTIONS.items():
+        target = target.when(F.col("resource_type") == resource_type, table)
+    return resource_rows.withColumn("target", target.otherwise("other")).withColumn(
+        "r", F.when(F.col("target") != "other", F.col("r"))
     )

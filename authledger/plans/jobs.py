@@ -29,11 +29,12 @@ def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataF
     bundles.assert_arrived(spark, bundle_dir)
     stage = scratch_dir(spark, "resources")
     files = bundles.read_bundles(spark, bundle_dir)
-    silver.silver_rows(bundles.resources_and_rejects(files)).write.partitionBy("target").parquet(stage)
+    silver.staged_rows(bundles.resources_and_rejects(files)).write.partitionBy("target").parquet(stage)
     staged = spark.read.parquet(stage)
 
     for table in silver.PROJECTIONS:
-        write_table(staged.filter(F.col("target") == table).select(f"{table}.*"), silver_dir, table)
+        mine = staged.filter(F.col("target") == table)
+        write_table(silver.silver_table(mine, table), silver_dir, table)
     rejected = staged.filter(F.col("target") == "quarantine").select(
         "file_path", F.col("rejected_text").alias("value")
     )

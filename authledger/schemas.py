@@ -40,6 +40,47 @@ SILVER = {
     ),
 }
 
+# The parts of a bundle resource that the silver tables read. Fields whose shape
+# depends on the resource type (address, total, type) are kept as JSON text.
+_REFERENCE = "struct<reference: string>"
+_CONCEPT = "struct<coding: array<struct<code: string>>, text: string>"
+RESOURCE_FIELDS = {
+    "resourceType": "string",
+    "id": "string",
+    "status": "string",
+    "intent": "string",
+    "outcome": "string",
+    "birthDate": "string",
+    "gender": "string",
+    "created": "string",
+    "authoredOn": "string",
+    "onsetDateTime": "string",
+    "abatementDateTime": "string",
+    "address": "string",
+    "total": "string",
+    "type": "string",
+    "patient": _REFERENCE,
+    "subject": _REFERENCE,
+    "beneficiary": _REFERENCE,
+    "provider": _REFERENCE,
+    "insurer": _REFERENCE,
+    "requester": _REFERENCE,
+    "claim": _REFERENCE,
+    "serviceProvider": "struct<display: string>",
+    "payor": "array<struct<display: string>>",
+    "maritalStatus": "struct<text: string>",
+    "class": "struct<code: string>",
+    "code": _CONCEPT,
+    "clinicalStatus": _CONCEPT,
+    "reasonCode": f"array<{_CONCEPT}>",
+    "period": "struct<start: string, end: string>",
+    "payment": "struct<amount: struct<value: string>>",
+    "diagnosis": f"array<struct<diagnosisCodeableConcept: {_CONCEPT}>>",
+    "insurance": f"array<struct<preAuthRef: array<string>, coverage: {_REFERENCE}>>",
+}
+RESOURCE = ", ".join(f"{name}: {kind}" for name, kind in RESOURCE_FIELDS.items())
+CONTAINED = f"array<struct<{RESOURCE}>>"
+
 GOLD = {
     "procedure_approval_rates": (
         "ar_claim_type string, ar_payer_name string, total_patients bigint, total_claims bigint, "

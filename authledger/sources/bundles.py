@@ -1,25 +1,35 @@
 """Bundle files: one JSON document per file, ``entry[].resource`` inside.
 
 Everything is JVM-side and narrow: a file is parsed, judged and exploded in the
-task that read it, without a shuffle. One pass gives top-level and contained
-resources together, so the text is never parsed once per branch.
+task that read it, without a shuffle. An ordinary file is parsed once, straight
+into the fields the tables need, contained resources included. Only a file with
+something odd in it is looked at a second time, resource by resource as text, to
+tell what can still be used from what makes the file unreadable.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# The document is parsed inside brackets: text after the document, a second
-# document or an empty file then shows as an error or as a length other than 1.
-DOCUMENT = "array<struct<entry: array<struct<resource: string>>>>"
-HEAD = "id string, resourceType string, contained string"
-CHILD_HEAD = "id string, resourceType string"
-STRICT = {"allowSingleQuotes": "false"}
+from authledger.schemas import CONTAINED, RESOURCE, RESOURCE_FIELDS
+
+# The document is parsed as a field of an object around it: text after the
+# document, a second document or an empty file is then a syntax error.
+DOCUMENT = (
+    f"document struct<entry: array<struct<resource: struct<{RESOURCE}, contained: {CONTAINED}>>>>, "
+    "damage string"
+)
+DOCUMENT_AS_TEXT = "document struct<entry: array<struct<resource: string>>>, damage string"
+STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "damage"}
+# A null list reads like an absent one but is an error.
+NULL_LIST = r'"(entry|contained)"\s*:\s*null'
 
 # An entry whose resource is one of these holds nothing and is passed over.
 EMPTY_RESOURCES = ["", "{}", "[]", "0", "0.0", "false"]
 EMPTY_CONTAINERS = ["", "{}"]
 
+ROW = f"array<struct<resource_type: string, resource_id: string, is_contained: boolean, r: struct<{RESOURCE}>>>"
+
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, value), one row per non-empty file."""
@@ -56,127 +66,130 @@ def assert_arrived(spark: SparkSession, path: str) -> int:
     return files
 
 
-def _is_object(text: Column) -> Column:
-    return text.startswith("{")
-
-
-def _is_empty(resource: Column) -> Column:
-    return resource.isNull() | resource.isin(EMPTY_RESOURCES)
+def _wrapped(value: str) -> Column:
+    return F.concat(F.lit('{"document":'), F.col(value), F.lit("}"))
 
 
 def _has_key(text: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
 
 
-def _part(entry: Column) -> Column:
-    resource = entry["resource"]
-    return F.struct(
-        entry.isNull().alias("no_entry"),
-        resource.alias("resource"),
-        F.from_json(resource, HEAD, STRICT).alias("head"),
-    )
+def _no_rows() -> Column:
+    return F.array().cast(ROW)
 
 
-def _with_children(part: Column) -> Column:
-    children = F.from_json(part["head"]["contained"], "array<string>", STRICT)
+def _row(resource: Column, resource_id: Column, contained: bool) -> Column:
     return F.struct(
-        part["no_entry"].alias("no_entry"),
-        part["resource"].alias("resource"),
-        part["head"].alias("head"),
-        F.transform(
-            children,
-            lambda child: F.struct(
-                child.alias("resource"), F.from_json(child, CHILD_HEAD, STRICT).alias("head")
-            ),
-        ).alias("children"),
+        F.coalesce(resource["resourceType"], F.lit("")).alias("resource_type"),
+        resource_id.alias("resource_id"),
+        F.lit(contained).alias("is_contained"),
+        F.struct(*[resource[name].alias(name) for name in RESOURCE_FIELDS]).alias("r"),
     )
 
 
-def _is_unreadable(part: Column) -> Column:
-    """An entry that makes its whole file unusable."""
-    contained = part["head"]["contained"]
-    # "contained": null reads like an absent key; the keys are listed only if the text hints at it.
-    contained_null = part["resource"].contains('"contained":null') & _has_key(part["resource"], "contained")
-    bad_child = F.exists(
-        part["children"], lambda child: child["resource"].isNull() | ~_is_object(child["resource"])
-    )
-    bad_contained = (
-        F.when(contained.isNull(), contained_null)
-        .when(contained.isin(EMPTY_CONTAINERS), False)
-        .otherwise(part["children"].isNull() | bad_child)
-    )
-    return part["no_entry"] | (
-        ~_is_empty(part["resource"])
-        & (~_is_object(part["resource"]) | part["head"].isNull() | bad_contained)
+def _rows(resource: Column) -> Column:
+    """A resource, followed by its contained resources (one level)."""
+    # concat is NULL for a child without id, which stays without one.
+    prefix = F.concat(F.coalesce(resource["id"], F.lit("unknown")), F.lit("_"))
+    children = F.transform(
+        resource["contained"], lambda child: _row(child, F.concat(prefix, child["id"]), True)
     )
+    top = F.array(_row(resource, resource["id"], False))
+    return F.when(resource["contained"].isNull(), top).otherwise(F.concat(top, children))
 
 
-def _row(resource: Column, resource_type: Column, resource_id: Column, contained: bool) -> Column:
-    return F.struct(
-        resource.alias("resource"),
-        F.coalesce(resource_type, F.lit("")).alias("resource_type"),
-        resource_id.alias("resource_id"),
-        F.lit(contained).alias("is_contained"),
+def _is_odd(parsed: Column) -> Column:
+    """Something the quick parse cannot judge."""
+    entries = F.exists(
+        parsed["document"]["entry"],
+        lambda entry: entry.isNull()
+        | (entry["resource"].isNotNull() & entry["resource"]["resourceType"].isNull())
+        | F.coalesce(F.exists(entry["resource"]["contained"], lambda child: child.isNull()), F.lit(False)),
     )
+    return parsed["damage"].isNotNull() | parsed["document"].isNull() | F.coalesce(entries, F.lit(False))
 
 
-def _rows(part: Column) -> Column:
-    """The resource of an entry, followed by its contained resources (one level)."""
-    head = part["head"]
-    top = F.array(_row(part["resource"], head["resourceType"], head["id"], False))
-    children = F.transform(
-        part["children"],
-        lambda child: _row(
-            child["resource"],
-            child["head"]["resourceType"],
-            # concat is NULL for a child without id, which stays without one.
-            F.concat(F.coalesce(head["id"], F.lit("unknown")), F.lit("_"), child["head"]["id"]),
-            True,
-        ),
+def _quick_rows(parsed: Column) -> Column:
+    """Rows of an ordinary file, NULL for an odd one."""
+    rows = F.flatten(
+        F.transform(
+            parsed["document"]["entry"],
+            lambda e: F.when(e["resource"].isNull(), _no_rows()).otherwise(_rows(e["resource"])),
+        )
     )
-    nothing = F.slice(top, 1, 0)
-    return F.when(_is_empty(part["resource"]), nothing).otherwise(
-        F.concat(top, F.coalesce(children, nothing))
+    return F.when(~_is_odd(parsed), F.coalesce(rows, _no_rows()))
+
+
+# --- second look ------------------------------------------------------------
+
+
+def _is_object(text: Column) -> Column:
+    return text.startswith("{")
+
+
+def _is_unreadable(resource: Column) -> Column:
+    """Resource text that makes its whole file unusable."""
+    contained = F.get_json_object(resource, "$.contained")
+    children = F.from_json(contained, "array<string>")
+    bad_child = F.exists(children, lambda child: child.isNull() | ~_is_object(child))
+    bad_contained = (
+        F.when(contained.isNull(), _has_key(resource, "contained"))
+        .when(contained.isin(EMPTY_CONTAINERS), False)
+        .otherwise(~contained.startswith("[") | children.isNull() | bad_child)
     )
+    return ~_is_object(resource) | bad_contained
 
 
-def examine(files: DataFrame) -> DataFrame:
-    """(file_path, value) -> (file_path, value, parts, rejected)."""
-    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    entry = F.get("document", F.lit(0))["entry"]
-    missing = F.coalesce(F.size("document") != 1, F.lit(True)) | F.get("document", F.lit(0)).isNull()
-    unreadable = F.coalesce(F.exists("parts", _is_unreadable), F.lit(False))
-    return (
-        files.withColumn("document", F.from_json(wrapped, DOCUMENT, STRICT))
-        .withColumn("entry", entry)
+def _second_look(again: Column, value: Column) -> Column:
+    """Rows of an odd file, NULL when it cannot be read."""
+    texts = again["document"]["entry"]
+    used = F.filter(
+        F.transform(texts, lambda entry: entry["resource"]),
+        lambda resource: resource.isNotNull() & ~resource.isin(EMPTY_RESOURCES),
+    )
+    unreadable = (
+        again["damage"].isNotNull()
+        | again["document"].isNull()
         # No entry is legal, an entry that is no array of objects is not.
-        .withColumn(
-            "malformed",
-            F.when(missing, True).when(F.col("entry").isNull(), _has_key(F.col("value"), "entry")).otherwise(False),
-        )
-        .withColumn("parts", F.transform("entry", _part))
-        .withColumn("parts", F.transform("parts", _with_children))
-        .select("file_path", "value", "parts", (F.col("malformed") | unreadable).alias("rejected"))
+        | (texts.isNull() & _has_key(value, "entry"))
+        | F.coalesce(F.exists(texts, lambda entry: entry.isNull()), F.lit(False))
+        | F.coalesce(F.exists(used, _is_unreadable), F.lit(False))
     )
+    parsed = F.transform(used, lambda r: F.from_json(r, f"struct<{RESOURCE}, contained: {CONTAINED}>"))
+    rows = F.flatten(F.transform(parsed, _rows))
+    return F.when(~unreadable, F.coalesce(rows, _no_rows()))
 
 
-def _null_row() -> Column:
-    """A list with one row that is all NULL."""
-    fields = ["resource string", "resource_type string", "resource_id string", "is_contained boolean"]
-    empty = F.struct(*[F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in fields])
-    return F.array(empty)
+# --- results ----------------------------------------------------------------
 
 
-def resources(files: DataFrame) -> DataFrame:
-    """(file_path, resource, resource_type, resource_id, is_contained) of all readable files."""
-    rows = F.flatten(F.transform("parts", _rows))
-    # A rejected file gives an empty list. A filter on the flag would be pushed
-    # below the parse and repeat it once for every use inside the condition.
-    return examine(files).select(
-        "file_path", F.inline(F.when(F.col("rejected"), F.slice(_null_row(), 1, 0)).otherwise(rows))
+def _with(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once and never stored as a column of its own."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def examine(files: DataFrame) -> DataFrame:
+    """(file_path, value) -> (file_path, value, rows); rows is NULL for an unreadable file."""
+    value = F.col("value")
+    null_list = F.contains(value, F.lit("null")) & value.rlike(NULL_LIST)
+    quick = _with(F.from_json(_wrapped("value"), DOCUMENT, STRICT), _quick_rows)
+    again = _with(
+        F.from_json(_wrapped("value"), DOCUMENT_AS_TEXT, STRICT), lambda parsed: _second_look(parsed, value)
+    )
+    return files.withColumn("quick_rows", F.when(~null_list, quick)).select(
+        "file_path", "value", F.when(F.col("quick_rows").isNotNull(), F.col("quick_rows")).otherwise(again).alias("rows")
     )
 
 
+def resources(files: DataFrame) -> DataFrame:
+    """(file_path, resource_type, resource_id, is_contained, r) of all readable files.
+
+    A rejected file gives an empty list. A filter on it would be pushed below the
+    parse and repeat the parse for every use inside the condition.
+    """
+    return examine(files).select("file_path", F.inline(F.coalesce("rows", _no_rows())))
+
+
 def entries(files: DataFrame) -> DataFrame:
     """Top-level resources only."""
     return resources(files).filter(~F.col("is_contained"))
@@ -191,22 +204,18 @@ def quarantine(files: DataFrame) -> DataFrame:
     """(file_path, value) of the files that give no rows because they cannot be read."""
     text = F.array(F.struct("value"))
     return examine(files).select(
-        "file_path", F.inline(F.when(F.col("rejected"), text).otherwise(F.slice(text, 1, 0)))
+        "file_path", F.inline(F.when(F.col("rows").isNull(), text).otherwise(F.slice(text, 1, 0)))
     )
 
 
 def resources_and_rejects(files: DataFrame) -> DataFrame:
     """Both of the above in one pass: a rejected file is one row with ``rejected_text`` set."""
-    rows = F.flatten(F.transform("parts", _rows))
     # The text travels with rejected files only, not with every exploded row.
     judged = examine(files).select(
-        "file_path", "parts", F.when(F.col("rejected"), F.col("value")).alias("rejected_text")
-    )
-    return judged.select(
-        "file_path",
-        "rejected_text",
-        F.inline(F.when(F.col("rejected_text").isNotNull(), _null_row()).otherwise(rows)),
+        "file_path", "rows", F.when(F.col("rows").isNull(), F.col("value")).alias("rejected_text")
     )
+    null_row = F.array(F.lit(None)).cast(ROW)
+    return judged.select("file_path", "rejected_text", F.inline(F.coalesce("rows", null_row)))
 
 
 def type_distribution(resource_rows: DataFrame, limit: int = 30) -> DataFrame:
