@@ -125,21 +125,31 @@ def over_model(build: Callable[[Model], DataFrame]) -> Query:
 def patient_files(m: Model) -> str:
     """Bundle files of all patients in a new folder."""
     path = scratch_dir(m.spark, "bundles")
-    sample_tables.write_bundle_files(sample_tables.patient_bundles(m.spark, m.sf_dir), path)
+    sample_tables.write_bundle_files(sample_tables.patient_pages(m.spark, m.sf_dir), path)
     return path
 
 
 def bundle_scan(m: Model) -> DataFrame:
+    """What is in the files, each read whole."""
     files = bundles.read_bundles(m.spark, patient_files(m))
-    return files.select(
-        F.get_json_object("value", "$.id").alias("bundle_id"),
-        F.json_array_length(F.get_json_object("value", "$.entry")).alias("entry_count"),
-    )
+    return bundles.entries(files).select("resource_type", "resource_id")
 
 
 def bundle_inventory(m: Model) -> DataFrame:
-    # The text sink leaves a marker file and checksums, which start with "_" or "." and are not listed.
-    return bundles.arrival_report(bundles.bundle_inventory(m.spark, patient_files(m)))
+    """The listing of the files against what a scan of them finds."""
+    path = patient_files(m)
+    listed = bundles.arrival_report(bundles.bundle_inventory(m.spark, path))
+    files = bundles.read_bundles(m.spark, path)
+    scanned = files.agg(
+        F.struct(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
+    ).scalar()
+    patients = bundles.entries(files).agg(F.count("*")).scalar()
+    return listed.withColumn("scanned", scanned).select(
+        (F.col("file_count") > 0).alias("arrived"),
+        (F.col("file_count") == F.col("scanned.n")).alias("all_scanned"),
+        (F.col("total_bytes") == F.col("scanned.bytes")).alias("all_bytes"),
+        patients.alias("patients"),
+    )
 
 
 def bundle_quarantine(m: Model) -> DataFrame:

@@ -32,7 +32,11 @@ def get_session(app_name: str = "authledger", **extra: str) -> SparkSession:
     ``spark.sql.shuffle.partitions`` is left to the submitter: it is the upper
     limit AQE coalesces from, so size it as (largest shuffle / 200 MB).
     """
-    builder = SparkSession.builder.appName(app_name)
+    builder = SparkSession.builder.appName(app_name).config(
+        # Recording the Python line of every column expression slows plan building.
+        "spark.python.sql.dataFrameDebugging.enabled",
+        "false",
+    )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())

@@ -9,7 +9,7 @@ tell what can still be used from what makes the file unreadable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from authledger.schemas import CONTAINED, RESOURCE, RESOURCE_FIELDS
 
@@ -20,15 +20,15 @@ DOCUMENT = (
     "damage string"
 )
 DOCUMENT_AS_TEXT = "document struct<entry: array<struct<resource: string>>>, damage string"
-STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "damage"}
 # A null list reads like an absent one but is an error.
-NULL_LIST = r'"(entry|contained)"\s*:\s*null'
+NULL_LIST = r'"(entry|contained)"[ \t\r\n]*:[ \t\r\n]*null'
 
 # An entry whose resource is one of these holds nothing and is passed over.
-EMPTY_RESOURCES = ["", "{}", "[]", "0", "0.0", "false"]
-EMPTY_CONTAINERS = ["", "{}"]
+EMPTY_RESOURCES = "'', '{}', '[]', '0', '0.0', 'false'"
+EMPTY_CONTAINERS = "'', '{}'"
 
-ROW = f"array<struct<resource_type: string, resource_id: string, is_contained: boolean, r: struct<{RESOURCE}>>>"
+ROWS = f"array<struct<resource_type: string, resource_id: string, is_contained: boolean, r: struct<{RESOURCE}>>>"
+NO_ROWS = f"CAST(array() AS {ROWS})"
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
@@ -66,118 +66,94 @@ def assert_arrived(spark: SparkSession, path: str) -> int:
     return files
 
 
-def _wrapped(value: str) -> Column:
-    return F.concat(F.lit('{"document":'), F.col(value), F.lit("}"))
+# The expressions below are SQL text: lambdas over nested lists read better that
+# way, and each reaches Spark in one call. ``{x}`` stands for a resource.
 
 
-def _has_key(text: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
-
-
-def _no_rows() -> Column:
-    return F.array().cast(ROW)
-
-
-def _row(resource: Column, resource_id: Column, contained: bool) -> Column:
-    return F.struct(
-        F.coalesce(resource["resourceType"], F.lit("")).alias("resource_type"),
-        resource_id.alias("resource_id"),
-        F.lit(contained).alias("is_contained"),
-        F.struct(*[resource[name].alias(name) for name in RESOURCE_FIELDS]).alias("r"),
+def _row(x: str, resource_id: str, contained: str) -> str:
+    parts = ", ".join(f"'{name}', {x}.`{name}`" for name in RESOURCE_FIELDS)
+    return (
+        f"named_struct('resource_type', coalesce({x}.resourceType, ''), 'resource_id', {resource_id}, "
+        f"'is_contained', {contained}, 'r', named_struct({parts}))"
     )
 
 
-def _rows(resource: Column) -> Column:
+def _rows(x: str) -> str:
     """A resource, followed by its contained resources (one level)."""
     # concat is NULL for a child without id, which stays without one.
-    prefix = F.concat(F.coalesce(resource["id"], F.lit("unknown")), F.lit("_"))
-    children = F.transform(
-        resource["contained"], lambda child: _row(child, F.concat(prefix, child["id"]), True)
-    )
-    top = F.array(_row(resource, resource["id"], False))
-    return F.when(resource["contained"].isNull(), top).otherwise(F.concat(top, children))
-
-
-def _is_odd(parsed: Column) -> Column:
-    """Something the quick parse cannot judge."""
-    entries = F.exists(
-        parsed["document"]["entry"],
-        lambda entry: entry.isNull()
-        | (entry["resource"].isNotNull() & entry["resource"]["resourceType"].isNull())
-        | F.coalesce(F.exists(entry["resource"]["contained"], lambda child: child.isNull()), F.lit(False)),
-    )
-    return parsed["damage"].isNotNull() | parsed["document"].isNull() | F.coalesce(entries, F.lit(False))
-
-
-def _quick_rows(parsed: Column) -> Column:
-    """Rows of an ordinary file, NULL for an odd one."""
-    rows = F.flatten(
-        F.transform(
-            parsed["document"]["entry"],
-            lambda e: F.when(e["resource"].isNull(), _no_rows()).otherwise(_rows(e["resource"])),
-        )
-    )
-    return F.when(~_is_odd(parsed), F.coalesce(rows, _no_rows()))
-
-
-# --- second look ------------------------------------------------------------
-
-
-def _is_object(text: Column) -> Column:
-    return text.startswith("{")
-
-
-def _is_unreadable(resource: Column) -> Column:
-    """Resource text that makes its whole file unusable."""
-    contained = F.get_json_object(resource, "$.contained")
-    children = F.from_json(contained, "array<string>")
-    bad_child = F.exists(children, lambda child: child.isNull() | ~_is_object(child))
-    bad_contained = (
-        F.when(contained.isNull(), _has_key(resource, "contained"))
-        .when(contained.isin(EMPTY_CONTAINERS), False)
-        .otherwise(~contained.startswith("[") | children.isNull() | bad_child)
-    )
-    return ~_is_object(resource) | bad_contained
-
-
-def _second_look(again: Column, value: Column) -> Column:
-    """Rows of an odd file, NULL when it cannot be read."""
-    texts = again["document"]["entry"]
-    used = F.filter(
-        F.transform(texts, lambda entry: entry["resource"]),
-        lambda resource: resource.isNotNull() & ~resource.isin(EMPTY_RESOURCES),
-    )
-    unreadable = (
-        again["damage"].isNotNull()
-        | again["document"].isNull()
-        # No entry is legal, an entry that is no array of objects is not.
-        | (texts.isNull() & _has_key(value, "entry"))
-        | F.coalesce(F.exists(texts, lambda entry: entry.isNull()), F.lit(False))
-        | F.coalesce(F.exists(used, _is_unreadable), F.lit(False))
-    )
-    parsed = F.transform(used, lambda r: F.from_json(r, f"struct<{RESOURCE}, contained: {CONTAINED}>"))
-    rows = F.flatten(F.transform(parsed, _rows))
-    return F.when(~unreadable, F.coalesce(rows, _no_rows()))
+    child = _row("child", f"concat(coalesce({x}.id, 'unknown'), '_', child.id)", "true")
+    top = f"array({_row(x, f'{x}.id', 'false')})"
+    return f"""
+        CASE WHEN {x}.contained IS NULL THEN {top}
+             ELSE concat({top}, transform({x}.contained, child -> {child})) END"""
+
+
+def _json(text: str, schema: str, *options: str) -> str:
+    return f"from_json({text}, '{schema}'{''.join(f', {o}' for o in options)})"
+
+
+STRICT = "map('allowSingleQuotes', 'false', 'columnNameOfCorruptRecord', 'damage')"
+WRAPPED = """concat('{"document":', value, '}')"""
+
+# Rows of an ordinary file; NULL for one with something the quick parse cannot judge.
+# transform(array(x), parsed -> ...)[0] computes x once without storing it as a column.
+QUICK_ROWS = f"""
+CASE WHEN contains(value, 'null') AND value RLIKE '{NULL_LIST}' THEN NULL ELSE
+  transform(array({_json(WRAPPED, DOCUMENT, STRICT)}), parsed ->
+    CASE WHEN parsed.damage IS NULL AND parsed.document IS NOT NULL AND NOT coalesce(
+      exists(parsed.document.entry, entry ->
+        entry IS NULL
+        OR (entry.resource IS NOT NULL AND entry.resource.resourceType IS NULL)
+        OR coalesce(exists(entry.resource.contained, child -> child IS NULL), false)), false)
+    THEN coalesce(
+      flatten(transform(parsed.document.entry, entry ->
+        CASE WHEN entry.resource IS NULL THEN {NO_ROWS} ELSE {_rows("entry.resource")} END)),
+      {NO_ROWS})
+    END)[0]
+END"""
+
+# Resource text that makes its whole file unusable: no object, or a contained list
+# that is none or holds anything but objects.
+UNREADABLE = f"""
+NOT startswith(resource, '{{') OR CASE
+  WHEN get_json_object(resource, '$.contained') IS NULL
+    THEN coalesce(array_contains(json_object_keys(resource), 'contained'), false)
+  WHEN get_json_object(resource, '$.contained') IN ({EMPTY_CONTAINERS}) THEN false
+  ELSE coalesce(NOT startswith(get_json_object(resource, '$.contained'), '[')
+    OR exists(from_json(get_json_object(resource, '$.contained'), 'array<string>'),
+              child -> child IS NULL OR NOT startswith(child, '{{')), true)
+END"""
+
+# Rows of an odd file; NULL when it cannot be read. No entry is legal, an entry
+# that is no array of objects is not.
+ROWS_AGAIN = f"""
+transform(array({_json(WRAPPED, DOCUMENT_AS_TEXT, STRICT)}), again ->
+  CASE WHEN again.damage IS NULL AND again.document IS NOT NULL
+    AND (again.document.entry IS NOT NULL
+         OR NOT coalesce(array_contains(json_object_keys(value), 'entry'), false))
+    AND NOT coalesce(exists(again.document.entry, entry -> entry IS NULL), false)
+    AND NOT coalesce(exists(
+      filter(again.document.entry.resource, x -> x IS NOT NULL AND x NOT IN ({EMPTY_RESOURCES})),
+      resource -> {UNREADABLE}), false)
+  THEN coalesce(
+    flatten(transform(
+      transform(
+        filter(again.document.entry.resource, x -> x IS NOT NULL AND x NOT IN ({EMPTY_RESOURCES})),
+        resource -> {_json("resource", f"struct<{RESOURCE}, contained: {CONTAINED}>")}),
+      part -> {_rows("part")})),
+    {NO_ROWS})
+  END)[0]"""
 
 
 # --- results ----------------------------------------------------------------
 
 
-def _with(value: Column, use) -> Column:
-    """``use(value)``, with the value computed once and never stored as a column of its own."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def examine(files: DataFrame) -> DataFrame:
     """(file_path, value) -> (file_path, value, rows); rows is NULL for an unreadable file."""
-    value = F.col("value")
-    null_list = F.contains(value, F.lit("null")) & value.rlike(NULL_LIST)
-    quick = _with(F.from_json(_wrapped("value"), DOCUMENT, STRICT), _quick_rows)
-    again = _with(
-        F.from_json(_wrapped("value"), DOCUMENT_AS_TEXT, STRICT), lambda parsed: _second_look(parsed, value)
-    )
-    return files.withColumn("quick_rows", F.when(~null_list, quick)).select(
-        "file_path", "value", F.when(F.col("quick_rows").isNotNull(), F.col("quick_rows")).otherwise(again).alias("rows")
+    return files.withColumn("quick_rows", F.expr(QUICK_ROWS)).select(
+        "file_path",
+        "value",
+        F.expr(f"CASE WHEN quick_rows IS NOT NULL THEN quick_rows ELSE {ROWS_AGAIN} END").alias("rows"),
     )
 
 
@@ -187,7 +163,7 @@ def resources(files: DataFrame) -> DataFrame:
     A rejected file gives an empty list. A filter on it would be pushed below the
     parse and repeat the parse for every use inside the condition.
     """
-    return examine(files).select("file_path", F.inline(F.coalesce("rows", _no_rows())))
+    return examine(files).select("file_path", F.expr(f"inline(coalesce(rows, {NO_ROWS}))"))
 
 
 def entries(files: DataFrame) -> DataFrame:
@@ -214,8 +190,9 @@ def resources_and_rejects(files: DataFrame) -> DataFrame:
     judged = examine(files).select(
         "file_path", "rows", F.when(F.col("rows").isNull(), F.col("value")).alias("rejected_text")
     )
-    null_row = F.array(F.lit(None)).cast(ROW)
-    return judged.select("file_path", "rejected_text", F.inline(F.coalesce("rows", null_row)))
+    return judged.select(
+        "file_path", "rejected_text", F.expr(f"inline(coalesce(rows, CAST(array(NULL) AS {ROWS})))")
+    )
 
 
 def type_distribution(resource_rows: DataFrame, limit: int = 30) -> DataFrame:

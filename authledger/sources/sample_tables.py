@@ -16,8 +16,25 @@ CLAIM_TYPES = ["professional", "institutional", "pharmacy"]
 UNINSURED_SEGMENT = "MACHINERY"
 
 
+# Declared, so that defining a query reads no file.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": "p_partkey bigint, p_type string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def iso(timestamp: Column) -> Column:
@@ -92,19 +109,18 @@ def _shaped(df: DataFrame, table_name: str) -> DataFrame:
     )
 
 
+def _patients(customers: DataFrame, nations: DataFrame) -> DataFrame:
+    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        "*",
+        tagged("P", "c_custkey").alias("patient_id"),
+        F.col("n_name").alias("state"),
+        F.col("c_mktsegment").alias("marital_status"),
+    )
+
+
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = table(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    return _shaped(
-        joined.select(
-            tagged("P", "c_custkey").alias("patient_id"),
-            F.col("n_name").alias("state"),
-            F.col("c_mktsegment").alias("marital_status"),
-        ),
-        "patients",
-    )
+    return _shaped(_patients(table(spark, sf_dir, "customer"), nations), "patients")
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,8 +262,7 @@ def _patient_resource() -> Column:
     return _json(
         "Patient",
         "patient_id",
-        birthDate=F.col("birth_date"),
-        address=F.array(F.struct("state", "city")),
+        address=F.array(F.struct("state")),
         maritalStatus=_text(F.col("marital_status")),
     )
 
@@ -366,6 +381,22 @@ def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def patient_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles of up to 128 patients, in the order the customers are read.
+
+    The page is taken from the row number inside the reading task, so no value in
+    the data can make a page larger.
+    """
+    page = F.shiftright(F.monotonically_increasing_id(), 7)
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    paged = table(spark, sf_dir, "customer").withColumn("page", page)
+    members = _patients(paged, nations).groupBy("page").agg(
+        F.collect_list(_patient_resource()).alias("resources")
+    )
+    name = F.concat(F.lit("page-"), F.col("page").cast("string"))
+    return members.select(name.alias("file_path"), document(name, F.col("resources")).alias("value"))
+
+
 def write_bundle_files(files: DataFrame, path: str) -> None:
     """One file per document."""
     files.select("value").write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
