@@ -38,9 +38,7 @@ def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataF
     rejected = staged.filter(F.col("target") == "quarantine").select(
         "file_path", F.col("rejected_text").alias("value")
     )
-    write_table(
-        rejected.unionByName(bundles.empty_files(spark, bundle_dir)), silver_dir, "quarantine"
-    )
+    write_table(rejected, silver_dir, "quarantine")
     return bundles.type_distribution(staged.filter(F.col("target") != "quarantine"))
 
 

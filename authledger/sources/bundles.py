@@ -32,24 +32,18 @@ NO_ROWS = f"CAST(array() AS {ROWS})"
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, value), one row per non-empty file."""
+    """(file_path, value), one row per file that holds anything."""
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), "value"
     )
 
 
 def bundle_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, length) of every file, from the listing alone."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"), "length")
-
+    """(file_path, length) of every file that holds anything, from the listing alone.
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of length 0 in quarantine form; the text reader passes them over."""
-    return (
-        bundle_inventory(spark, path)
-        .filter(F.col("length") == 0)
-        .select("file_path", F.lit("").alias("value"))
-    )
+    Spark's file sources pass over files of length 0; those give no rows anyway.
+    """
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"), "length")
 
 
 def arrival_report(inventory: DataFrame) -> DataFrame:
