@@ -24,19 +24,28 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Model:
-    """The chain of tables over one set of sample tables; each is defined when asked for."""
+    """The chain of tables over one set of sample tables; each is defined when asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``store_profile`` the patient profiles are written to the shared folder
+    and read back, as the batch job does, for queries that need them more than once.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store_profile: bool = False):
+        self.spark, self.sf_dir, self.store_profile = spark, sf_dir, store_profile
 
     def silver(self, table: str) -> DataFrame:
         return sample_tables.SILVER[table](self.spark, self.sf_dir)
 
     @cached_property
     def profile(self) -> DataFrame:
-        return profiles.patient_profile(
+        profile = profiles.patient_profile(
             self.silver("claims"), self.silver("explanations"), self.silver("coverages")
         )
+        if not self.store_profile:
+            return profile
+        root = scratch_dir(self.spark, "profile")
+        tables.write_table(profile, root, jobs.PROFILE)
+        return self.spark.read.schema(profile.schema).parquet(f"{root}/{jobs.PROFILE}")
 
     @cached_property
     def insured(self) -> DataFrame:
@@ -112,9 +121,28 @@ class Model:
         return quality.quality_report(self.spark, checked, minimums)
 
 
-def over_model(build: Callable[[Model], DataFrame]) -> Query:
+# Queries that read the profiles on more than one path.
+SEVERAL_PATHS = {
+    "mart_pa_compliance_scorecard",
+    "mart_payer_benchmarks",
+    "view_pa_compliance_scorecard",
+    "view_payer_benchmarks",
+    "dash_scorecard_kpis",
+    "dash_scorecard_bars",
+    "dash_scorecard_detail",
+    "dash_tier_distribution",
+    "dash_market_flag",
+    "dash_revenue_by_payer",
+    "dash_payer_ranking",
+    "quality_report",
+    "quality_failures",
+}
+
+
+def over_model(build: Callable[[Model], DataFrame], store_profile: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Model(configure(spark), sf_dir)).drop("dbt_loaded_at", "mart_updated_at")
+        model = Model(configure(spark), sf_dir, store_profile)
+        return build(model).drop("dbt_loaded_at", "mart_updated_at")
 
     return query
 
@@ -343,7 +371,7 @@ def queries() -> dict[str, Query]:
         "roundtrip_claims_year": partial(stored, table="claims"),
         "catalog_tables": catalog_tables,
     }
-    return {name: over_model(build) for name, build in models.items()}
+    return {name: over_model(build, name in SEVERAL_PATHS) for name, build in models.items()}
 
 
 def oracle_sql() -> dict[str, str]:
