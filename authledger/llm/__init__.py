@@ -1 +1,8 @@
 """Operators that prepare a training corpus. Nothing else in the library imports this."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no copy of the package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -94,8 +94,8 @@ def keep_rows(docs: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> Dat
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                raw = part.column("text").to_pylist()
-                yield part.filter(pa.array(keep([(text or "").encode() for text in raw]), pa.bool_()))
+                raw = part.column("text").cast(pa.binary()).to_pylist()
+                yield part.filter(pa.array(keep([text or b"" for text in raw]), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

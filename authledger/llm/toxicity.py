@@ -72,7 +72,7 @@ def mine(sample: list[tuple[bytes, int, float]]) -> list[str]:
     n = [0.0, 0.0]
     for text, label, weight in sample:
         n[label] += weight
-        for key in {k for w in set(words_of(text.decode())) for k in beginnings(w)}:
+        for key in {k for w in set(words_of(text.decode(errors="replace"))) for k in beginnings(w)}:
             seen[label][key] += weight
     if not n[0] or not n[1]:
         return []
@@ -128,7 +128,7 @@ class Model:
         both = 0 < y.sum() < len(y)
         prior = float(np.clip((y * weight).sum() / weight.sum(), 0.005, 0.5)) if both else PRIOR
         mined = mine(sample)
-        decoded = [text.decode() for text, _, _ in sample]
+        decoded = [text.decode(errors="replace") for text, _, _ in sample]
         examples = decoded if both else [*decoded, *" ".join(LEXICONS.values()).split(), *"a the of".split()]
         share = weight if both else np.ones(len(examples))
         posterior = label_model(np.array([vote(text, mined) for text in examples]), prior)
@@ -187,7 +187,7 @@ def toxicity(
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_per_class))
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
-        scores = [shared.value.probability(text.decode()) for text in batch]
+        scores = [shared.value.probability(text.decode(errors="replace")) for text in batch]
         return {
             "doc_id": ids,
             "held_out": [i is not None and crc32(str(i).encode()) % 4 == 2 for i in ids],
@@ -202,5 +202,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The documents below the threshold, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     return keep_rows(
-        docs, lambda batch: np.array([shared.value.probability(t.decode()) < threshold for t in batch], bool)
+        docs, lambda batch: np.array([shared.value.probability(t.decode(errors="replace")) < threshold for t in batch], bool)
     )
