@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from authledger.session import scratch_dir
@@ -87,6 +88,18 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return simple[kind.simpleString()]
 
 
+def sent(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A function that gives ``value`` on the executors, unpacked once per worker."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get() -> object:
+        if not hasattr(packed, "unpacked"):
+            packed.unpacked = cloudpickle.loads(packed.value)
+        return packed.unpacked
+
+    return get
+
+
 def keep_rows(docs: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
     """The rows whose text passes, with every column as it is; no join, so ids may repeat."""
 

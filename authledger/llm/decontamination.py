@@ -25,7 +25,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from authledger.llm.common import keep_rows, map_texts
+from authledger.llm.common import keep_rows, map_texts, sent
 
 WINDOW = 10
 MAX_BENCHMARK_BYTES = 64 << 20
@@ -111,15 +111,15 @@ def matcher(benchmark: DataFrame, window: int = WINDOW) -> Matcher:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: words, hit words, items and the byte range from first to last hit."""
-    shared = docs.sparkSession.sparkContext.broadcast(matcher(benchmark, window))
+    shared = sent(docs.sparkSession, matcher(benchmark, window))
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
         out: dict[str, list] = {
             k: [] for k in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "first_byte", "end_byte")
         }
         for text in batch:
-            n, hit, items = shared.value.scan(text)
-            spans = shared.value.spans(text) if len(hit) else []
+            n, hit, items = shared().scan(text)
+            spans = shared().spans(text) if len(hit) else []
             out["n_words"].append(n)
             out["n_hit"].append(len(hit))
             out["n_items"].append(len(items))
@@ -135,5 +135,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit word, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(matcher(benchmark, window))
-    return keep_rows(docs, lambda batch: np.array([not len(shared.value.scan(t)[1]) for t in batch], bool))
+    shared = sent(docs.sparkSession, matcher(benchmark, window))
+    return keep_rows(docs, lambda batch: np.array([not len(shared().scan(t)[1]) for t in batch], bool))

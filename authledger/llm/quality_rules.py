@@ -23,7 +23,7 @@ from xxhash import xxh3_64_intdigest
 
 from authledger.llm import ngrams
 from authledger.llm.common import (
-    Rows, fit_calibration, fit_logistic, labelled_sample, map_texts, sigmoid,
+    Rows, fit_calibration, fit_logistic, labelled_sample, map_texts, sent, sigmoid,
 )
 
 SAMPLE_PER_CLASS = 2000
@@ -105,7 +105,7 @@ def quality_rules(
 ) -> DataFrame:
     """One row per document with its base counts, its probability and the verdict."""
     model = Model(labelled_sample(docs, labels, "quality", sample_per_class))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = sent(docs.sparkSession, model)
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -117,7 +117,7 @@ def quality_rules(
                 out[name].append(count)
             n, repeated = counts[0], counts[4]
             failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
-            probability = shared.value.probability(text, words)
+            probability = shared().probability(text, words)
             out["base_failed"].append(failed)
             out["score"].append(probability)
             out["kept"].append(not failed and probability >= threshold)

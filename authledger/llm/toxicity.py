@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from authledger.llm.common import (
-    Rows, fit_logistic, keep_rows, labelled_sample, map_texts, sigmoid,
+    Rows, fit_logistic, keep_rows, labelled_sample, map_texts, sent, sigmoid,
 )
 
 SAMPLE_PER_CLASS = 2500
@@ -184,10 +184,10 @@ def toxicity(
     sample_per_class: int = SAMPLE_PER_CLASS,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_per_class))
+    shared = sent(docs.sparkSession, fit(docs, labels, sample_per_class))
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
-        scores = [shared.value.probability(text.decode(errors="replace")) for text in batch]
+        scores = [shared().probability(text.decode(errors="replace")) for text in batch]
         return {
             "doc_id": ids,
             "held_out": [i is not None and crc32(str(i).encode()) % 4 == 2 for i in ids],
@@ -200,7 +200,7 @@ def toxicity(
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents below the threshold, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    shared = sent(docs.sparkSession, fit(docs, labels))
     return keep_rows(
-        docs, lambda batch: np.array([shared.value.probability(t.decode(errors="replace")) < threshold for t in batch], bool)
+        docs, lambda batch: np.array([shared().probability(t.decode(errors="replace")) < threshold for t in batch], bool)
     )
