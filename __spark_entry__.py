@@ -371,8 +371,21 @@ def queries() -> dict[str, Query]:
         "roundtrip_claims_year": partial(stored, table="claims"),
         "catalog_tables": catalog_tables,
     }
-    return {name: over_model(build, name in SEVERAL_PATHS) for name, build in models.items()}
+    return {name: over_model(build, name in SEVERAL_PATHS) for name, build in models.items()} | corpus_queries()[0]
+
+
+def corpus_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where that part of the library is there."""
+    try:
+        import corpus_pipeline
+        from authledger.llm import queries as corpus
+    except ImportError:
+        return {}, {}
+    sql = corpus.oracles()
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus.queries() | {"pipeline": corpus_pipeline.run}, sql
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracles()
+    return oracle_queries.oracles() | corpus_queries()[1]
