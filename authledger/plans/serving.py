@@ -207,12 +207,12 @@ def explorer_top_requests(scores: DataFrame, limit: int = EXPLORER_LIMIT) -> Dat
 
 def explorer_filter(
     scores: DataFrame,
-    payers: list[str] = (),
+    payers: list[str | None] = (),
     tiers: list[str] = ("HIGH",),
     claim_types: list[str] = (),
     pre_limit: bool = True,
 ) -> DataFrame:
-    """Requests that pass every non-empty filter.
+    """Requests that pass every non-empty filter; None among the choices means unknown.
 
     The filters see only the top requests, as on the page; ``pre_limit=False``
     filters all flagged requests instead.
@@ -220,7 +220,8 @@ def explorer_filter(
     shown = explorer_top_requests(scores) if pre_limit else flagged_requests(scores)
     for column, wanted in (("payer_name", payers), ("risk_tier", tiers), ("claim_type", claim_types)):
         if wanted:
-            shown = shown.filter(F.col(column).isin(list(wanted)))
+            chosen = F.coalesce(F.col(column).isin([w for w in wanted if w is not None]), F.lit(False))
+            shown = shown.filter(chosen | F.col(column).isNull() if None in wanted else chosen)
     return shown
 
 

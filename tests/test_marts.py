@@ -176,3 +176,13 @@ def test_quality_gate(spark):
     with pytest.raises(quality.QualityError, match="small: 9 < 10"):
         quality.assert_quality(report)
     quality.assert_quality(report.filter("status = 'PASS'"))
+
+
+def test_explorer_filter_takes_the_unknown_payer(spark):
+    import __spark_entry__ as entry
+    from authledger.plans import serving
+
+    scores = entry.Model(spark, "/root/testdata/sf0.001").scores
+    unknown = serving.explorer_filter(scores, payers=[None], tiers=[])
+    assert unknown.count() == 47
+    assert unknown.filter("payer_name IS NOT NULL").isEmpty()
