@@ -5,10 +5,12 @@
 2. A class has ``SKETCH`` minwise values. In each of ``TREES`` independent trees a class
    walks down by the values at the tree's own random coordinates. A node of at most
    ``LEAF`` classes is compared exhaustively by sketches; a larger one branches on.
-3. From level ``STAR_FROM`` on, members of a node that is still large are also linked to
-   the node's smallest id. If all these links hold, the node is one component and done;
-   else it branches on. What is left at ``LEVELS`` is completed by comparing the members
-   that failed with all members of the node.
+   Several levels make one pass (``ROUNDS``): a pass writes each row's nodes at all its
+   levels, and the small nodes whose parent is large are the leaves.
+3. After a pass that ends at level ``STAR_FROM`` or deeper, members of a node that is still
+   large are also linked to the node's smallest id. If all these links hold, the node is
+   one component and done; else it branches on. What is left at ``LEVELS`` is completed by
+   comparing the members that failed with all members of the node.
 4. Pairs are confirmed on the full sets, recomputed from the whole texts. Inside a leaf,
    pairs far above the threshold are emitted as a spanning star only: the components are
    the same, and a group of copies never becomes all its pairs.
@@ -35,12 +37,14 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 from authledger.llm.common import map_texts, stored, texts
 
 TREES, LEVELS, LEAF, SKETCH, STAR_FROM = 16, 24, 16, 96, 4
+# Levels that are walked in one pass; deeper passes have fewer rows.
+ROUNDS = (range(0, 1), range(1, 4), range(4, 10), range(10, LEVELS))
 # Distances from the threshold, in similarity, below and above which sketches decide.
 BELOW, ABOVE = 0.13, 0.10
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20)
-_FACTORS = _rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
-_TERMS = _rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
+_FACTORS = _rng.integers(1, 1 << 32, SKETCH, dtype=np.uint32) | np.uint32(1)
+_TERMS = _rng.integers(0, 1 << 32, SKETCH, dtype=np.uint32)
 _PATHS = np.array([_rng.permutation(SKETCH)[:LEVELS] for _ in range(TREES)])
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
@@ -63,9 +67,11 @@ def shingles(text: bytes, width: int) -> np.ndarray:
 def sketch(items: np.ndarray) -> np.ndarray:
     """The smallest value of each of ``SKETCH`` hash functions over the set."""
     out = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
-    for start in range(0, len(items), 2048):
-        part = items[start : start + 2048, None] * _FACTORS + _TERMS
-        out = np.minimum(out, (part >> np.uint64(32)).astype(np.uint32).min(0))
+    short = (items >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(short), 1024):
+        part = short[start : start + 1024, None] * _FACTORS
+        part += _TERMS
+        np.minimum(out, part.min(0), out=out)
     return out
 
 
@@ -84,37 +90,36 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return map_texts(docs, each, "doc_id bigint, n_shingles bigint, set_key binary, sketch binary")
 
 
-def _nodes(classes: DataFrame, level: int, active: DataFrame | None) -> DataFrame:
-    """(tree, node, id, n, bytes) one level down: all trees at level 0, later the active rows."""
-    source, top = (classes, True) if active is None else (classes.join(active, "id"), False)
-    schema = "id bigint, tree int, node bigint, n bigint, bytes binary"
+def _nodes(classes: DataFrame, levels: range, active: DataFrame | None) -> DataFrame:
+    """(id, tree, level, node, parent) at some levels: from the roots, or from the active nodes down."""
+    source, top = (classes.select("id", "sketch"), True) if active is None else (classes.join(active, "id"), False)
+    schema = "id bigint, tree int, level int, node bigint, parent bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column("id").to_numpy()
-            sizes = batch.column("n").to_numpy()
             values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
-            low = values.astype(np.uint8)
             if top:
-                repeated = np.repeat(np.arange(len(ids)), TREES)
+                at = np.repeat(np.arange(len(ids)), TREES)
                 tree = np.tile(np.arange(TREES), len(ids))
                 parent = tree.astype(np.uint64)
             else:
-                repeated = np.arange(len(ids))
+                at = np.arange(len(ids))
                 tree = batch.column("tree").to_numpy()
-                parent = batch.column("node").to_numpy().astype(np.uint64)
-            value = values[repeated, _PATHS[tree, level]].astype(np.uint64)
-            node = ((parent ^ (parent >> np.uint64(31))) * _MIX + value + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[repeated]), pa.array(tree.astype(np.int32)),
-                    pa.array(node.view(np.int64)), pa.array(sizes[repeated]),
-                    pa.array([low[i].tobytes() for i in repeated], pa.binary()),
-                ],
-                names=["id", "tree", "node", "n", "bytes"],
-            )
+                parent = batch.column("node").to_numpy().view(np.uint64)
+            for level in levels:
+                value = values[at, _PATHS[tree, level]].astype(np.uint64)
+                node = ((parent ^ (parent >> np.uint64(31))) * _MIX + value + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[at]), pa.array(tree.astype(np.int32)), pa.array(np.full(len(at), level, np.int32)),
+                        pa.array(node.view(np.int64)), pa.array(parent.view(np.int64)),
+                    ],
+                    names=["id", "tree", "level", "node", "parent"],
+                )
+                parent = node
 
     return source.mapInArrow(run, schema)
 
@@ -153,21 +158,19 @@ def _leaf_pairs(leaves: DataFrame, least: float) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield _leaf_batch(rest, least, last=True)[0]
 
-    return leaves.repartition("tree", "node").sortWithinPartitions("tree", "node").mapInArrow(
-        run, "a bigint, b bigint"
-    )
+    return leaves.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a bigint, b bigint")
 
 
 def _leaf_batch(rows: pa.Table, least: float, last: bool) -> tuple[pa.RecordBatch, int]:
-    node, tree = rows.column("node").to_numpy(), rows.column("tree").to_numpy()
-    starts = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (tree[1:] != tree[:-1])]) if len(node) else []
+    node = rows.column("node").to_numpy()
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else []
     ends = [*starts[1:], len(node)]
-    ids, n, raw = rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("bytes").to_pylist()
+    ids, n, raw = rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("sketch").to_pylist()
     pairs: list[tuple[int, int]] = []
     upto = len(starts) if last else max(0, len(starts) - 1)
     for start, end in zip(starts[:upto], ends[:upto], strict=True):
         if end - start > 1:
-            low = np.frombuffer(b"".join(raw[start:end]), np.uint8).reshape(-1, SKETCH)
+            low = np.frombuffer(b"".join(raw[start:end]), np.uint32).reshape(-1, SKETCH).astype(np.uint8)
             pairs += _compare(ids[start:end], n[start:end], low, least)
     used = int(ends[upto - 1]) if upto else 0
     a, b = ([p[i] for p in pairs] for i in (0, 1))
@@ -231,31 +234,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found: list[DataFrame] = []
     links: list[DataFrame] = []
     active = None
-    for level in range(LEVELS):
-        rows, _ = stored(_nodes(classes, level, active), "near-nodes")
-        sizes = rows.groupBy("tree", "node").agg(F.count("*").alias("members"), F.min("id").alias("first")).filter("members > 1")
-        sizes, _ = stored(sizes, "near-sizes")
-        small = rows.join(sizes.filter(F.col("members") <= LEAF).select("tree", "node"), ["tree", "node"])
-        found.append(stored(_leaf_pairs(small, least), "near-pairs")[0])
+    for levels in ROUNDS:
+        rows, _ = stored(_nodes(classes, levels, active), "near-nodes")
+        sizes, _ = stored(
+            rows.groupBy("node")
+            .agg(F.count("*").alias("members"), F.min("id").alias("first"), F.first("level").alias("level"), F.first("parent").alias("parent"))
+            .filter("members > 1"),
+            "near-sizes",
+        )
         large = sizes.filter(F.col("members") > LEAF)
-        if large.isEmpty():
+        # Nodes that are small while their parent is still large.
+        small = sizes.filter(F.col("members") <= LEAF)
+        small = small.filter(F.col("level") == levels[0]).select("node").unionByName(
+            small.join(large.select(F.col("node").alias("parent")), "parent", "left_semi").select("node")
+        )
+        leaves = rows.join(small, "node").select("node", "id").join(classes.select("id", "n", "sketch"), "id")
+        found.append(stored(_leaf_pairs(leaves, least), "near-pairs")[0])
+        last = large.filter(F.col("level") == levels[-1]).select("node", "first")
+        if last.isEmpty():
             break
-        # ``first`` and the id in one row: what a star needs.
-        active = rows.select("tree", "node", "id").join(large.select("tree", "node", "first"), ["tree", "node"])
-        if level + 1 >= STAR_FROM:
+        active = rows.join(last, "node").select("tree", "node", "id", "first")
+        if levels[-1] + 1 >= STAR_FROM:
             star = active.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
             good, _ = stored(confirm(star, docs, width, percent), "near-star")
             links.append(good)
             failed = active.filter("id <> first").join(
                 good.select(F.col("a").alias("first"), F.col("b").alias("id")), ["first", "id"], "left_anti"
             )
-            open_nodes, _ = stored(failed.select("tree", "node", F.col("id").alias("other")), "near-open")
+            open_nodes, _ = stored(failed.select("node", F.col("id").alias("other")), "near-open")
             if open_nodes.isEmpty():
                 break
-            if level == LEVELS - 1:
-                last = active.join(open_nodes, ["tree", "node"]).filter("id <> other")
-                found.append(last.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
-            active = active.join(open_nodes.select("tree", "node").distinct(), ["tree", "node"])
+            if levels is ROUNDS[-1]:
+                rest = active.join(open_nodes, "node").filter("id <> other")
+                found.append(rest.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
+                break
+            active = active.join(open_nodes.select("node").distinct(), "node")
         active, _ = stored(active.select("tree", "node", "id"), "near-active")
     pairs, _ = stored(reduce(DataFrame.union, found).distinct(), "near-candidates")
     links.append(confirm(pairs, docs, width, percent))
