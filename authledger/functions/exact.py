@@ -1,12 +1,13 @@
 """Exact money and rate arithmetic on double columns.
 
 Sums of doubles depend on the order Spark adds them in, so a rounded mean can
-change between two runs. Here amounts and rates are added as whole numbers
-(``bigint`` sums stay in the fast hash aggregate), divided as decimals and
-rounded half up once. Stored columns are doubles again.
+change between two runs. Here amounts are added as decimals and rates as whole
+numbers, divided as decimals and rounded half up once. Stored columns are doubles
+again.
 
-Raw amounts are exact to four digits after the point; an amount of a trillion
-or more, an infinity or a NaN counts as no amount.
+Raw amounts are rounded to four digits after the point before they are added; an
+infinity or a NaN is no amount. A number too wide for its column (22 digits before
+the point of a raw amount) fails the query: nothing is left out silently.
 """
 
 from __future__ import annotations
@@ -15,21 +16,21 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-AMOUNT_LIMIT = 1e12
 # Widths that keep at least 14 digits after the point in a Spark decimal division.
+AMOUNT = "decimal(26,4)"
 SUM = "decimal(28,4)"
-COUNT = "decimal(12,0)"
+COUNT = "decimal(20,0)"
 WHOLE = "decimal(20,0)"
 
 
 def cents(money: Column) -> Column:
     """Money rounded to two digits, as a whole number of cents."""
-    return F.rint(money * 100).try_cast("bigint")
+    return F.rint(money * 100).cast("bigint")
 
 
 def points(rate: Column) -> Column:
     """A rate rounded to four digits, as a whole number of 1/10000."""
-    return F.rint(rate * 10000).try_cast("bigint")
+    return F.rint(rate * 10000).cast("bigint")
 
 
 def half_up(value: Column, step: int) -> Column:
@@ -59,12 +60,9 @@ def count_of(n: Column) -> Column:
 
 
 def mean_amount(amount: Column, digits: int) -> Column:
-    """Mean of a raw amount column, NULLs left out."""
-    usable = F.when(F.abs(amount) < AMOUNT_LIMIT, amount)
-    whole = F.floor(usable)
-    fraction = F.rint((usable - whole) * 10000).cast("bigint")
-    total = _scaled(F.sum(whole), "1") + _scaled(F.sum(fraction), "0.0001")
-    return ratio(total.cast(SUM), count_of(F.count(usable)), digits)
+    """Mean of a raw amount column; NULLs and what is no number are left out."""
+    usable = F.when(~F.isnan(amount) & (F.abs(amount) < float("inf")), amount)
+    return ratio(F.sum(usable.cast(AMOUNT)).cast(SUM), count_of(F.count(usable)), digits)
 
 
 def total_cents(money: Column) -> Column:

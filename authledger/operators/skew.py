@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key with more rows than this is spread over ceil(rows / HOT_ROWS) join tasks.
 HOT_ROWS = 2_000_000
-# Rows of the broadcast list of hot keys; hot keys beyond it are joined unspread.
+# A key is only hot with more than 1 / HOT_KEYS of all rows, which bounds the broadcast list.
 HOT_KEYS = 100_000
 # Rows without a key match nothing and are spread freely.
 KEYLESS_SALTS = 1 << 20
@@ -14,14 +14,17 @@ TOP_LANES = 64
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key, salts) of the most frequent keys: at most HOT_KEYS rows whatever the data."""
+    """(key, salts) of the keys above ``hot_rows`` rows and above 1 / HOT_KEYS of all rows.
+
+    Fewer than HOT_KEYS keys can have so large a share, so that the list is bounded
+    whatever the data, and no key of a larger share is left out.
+    """
+    keyed = rows.filter(F.col(key).isNotNull())
+    share = keyed.select((F.count("*") / HOT_KEYS).alias("share")).scalar()
     return (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        keyed.groupBy(key)
         .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
+        .filter((F.col("n") > hot_rows) & (F.col("n") > share))
         .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
     )
 

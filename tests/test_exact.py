@@ -39,10 +39,18 @@ def test_half_up_is_symmetric(spark):
 
 
 def test_junk_amounts_count_as_none(spark):
-    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e13,), (None,), (2.0,), (-1.0,)], "x double")
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (2.0,), (-1.0,)], "x double")
     assert df.agg(exact.double(exact.mean_amount(F.col("x"), 2))).first()[0] == 0.5
 
 
+def test_large_amounts_take_part(spark):
+    df = spark.createDataFrame([(10.0,), (2e12,), (4e18,)], "x double")
+    total = Decimal(10) + 2 * 10**12 + 4 * 10**18
+    assert df.agg(exact.double(exact.mean_amount(F.col("x"), 2))).first()[0] == rounded(total / 3, 2)
+    counts = spark.createDataFrame([(10**13,)], "n bigint").select(exact.count_of(F.col("n")))
+    assert counts.first()[0] == 10**13
+
+
 def test_sub_cent_amounts_are_kept(spark):
     df = spark.createDataFrame([(0.0049,), (0.0051,), (0.005,)], "x double")
     assert df.agg(exact.double(exact.mean_amount(F.col("x"), 4))).first()[0] == 0.005
