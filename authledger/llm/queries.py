@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from authledger.llm import (
-    decontamination, mixing, near_dedup, quality_crf, quality_rules, records, secret_scan, sharding,
-    token_counts, toxicity,
+    conversation_repair, decontamination, jaccard_join, mixing, near_dedup, quality_crf, quality_rules, records,
+    secret_scan, sharding, token_counts, toxicity, whitening,
 )
 from authledger.llm.common import table
 
@@ -34,6 +34,9 @@ def queries() -> dict:
         "op8_sharding": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
         "op9_quality_rules": lambda s, d: quality_rules.quality_rules(*_tables(s, d, "documents", "labels")),
         "op10_mixing": lambda s, d: mixing.mixing_rates(*_tables(s, d, "documents", "labels")),
+        "op11_whitening": lambda s, d: whitening.whiten(table(s, d, "embeddings")),
+        "op12_conversation_repair": lambda s, d: conversation_repair.report(table(s, d, "conversations")),
+        "op13_jaccard_join": lambda s, d: jaccard_join.jaccard_components(table(s, d, "documents"), width=3, percent=90),
     }
 
 
