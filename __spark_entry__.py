@@ -103,11 +103,16 @@ class Model:
     def benchmarks(self) -> DataFrame:
         return serving.view_payer_benchmarks(self.mart_payer_benchmarks, self.performance)
 
-    def bundles(self) -> DataFrame:
-        return sample_tables.bundles(self.spark, self.sf_dir)
+    @cached_property
+    def bundle_dir(self) -> str:
+        """A new folder with all documents as files: pages of mixed resources."""
+        path = scratch_dir(self.spark, "bundles")
+        sample_tables.write_bundle_files(sample_tables.pages(self.spark, self.sf_dir), path)
+        return path
 
-    def resources(self) -> DataFrame:
-        return bundles.resources(self.bundles())
+    @property
+    def files(self) -> DataFrame:
+        return bundles.read_bundles(self.spark, self.bundle_dir)
 
     def report(self) -> DataFrame:
         checked = {
@@ -150,39 +155,46 @@ def over_model(build: Callable[[Model], DataFrame], store_profile: bool) -> Quer
 # --- bundles ----------------------------------------------------------------
 
 
-def patient_files(m: Model) -> str:
-    """Bundle files of all patients in a new folder."""
-    path = scratch_dir(m.spark, "bundles")
-    sample_tables.write_bundle_files(sample_tables.patient_pages(m.spark, m.sf_dir), path)
-    return path
+def bundle_scan(files: DataFrame) -> DataFrame:
+    """Resources of each type in files that are read whole, and whether files are bounded and mixed."""
+    per_file = bundles.entries(files).groupBy("file_path", "resource_type").agg(F.count("*").alias("n"))
+    whole = F.struct(F.sum("n").alias("n"), F.count("*").alias("types"))
+    bounds = per_file.groupBy("file_path").agg(whole.alias("w")).agg(
+        F.struct((F.max("w.n") <= 128).alias("bounded"), (F.max("w.types") > 1).alias("mixed"))
+    ).scalar()
+    return (
+        per_file.groupBy("resource_type")
+        .agg(F.sum("n").alias("resources"))
+        .withColumn("bounds", bounds)
+        .select("resource_type", "resources", "bounds.bounded", "bounds.mixed")
+    )
 
 
-def bundle_scan(m: Model) -> DataFrame:
-    """What is in the files, each read whole."""
-    files = bundles.read_bundles(m.spark, patient_files(m))
-    return bundles.entries(files).select("resource_type", "resource_id")
+def add_empty_files(m: Model) -> None:
+    for kind in ("patient", "order", "encounter", "condition"):
+        sample_tables.write_empty_file(m.spark, f"{m.bundle_dir}/name=empty-{kind}")
 
 
 def bundle_inventory(m: Model) -> DataFrame:
-    """The listing of the files against what a scan of them finds."""
-    path = patient_files(m)
-    listed = bundles.arrival_report(bundles.bundle_inventory(m.spark, path))
-    files = bundles.read_bundles(m.spark, path)
-    scanned = files.agg(
+    """The listing of the files, empty ones among them, against what a scan of them finds."""
+    add_empty_files(m)
+    listed = bundles.arrival_report(bundles.bundle_inventory(m.spark, m.bundle_dir))
+    scanned = m.files.agg(
         F.struct(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
     ).scalar()
-    patients = bundles.entries(files).agg(F.count("*")).scalar()
+    resources = bundles.entries(m.files).agg(F.count("*")).scalar()
     return listed.withColumn("scanned", scanned).select(
         (F.col("file_count") > 0).alias("arrived"),
-        (F.col("file_count") == F.col("scanned.n")).alias("all_scanned"),
+        "empty_files",
+        (F.col("file_count") == F.col("scanned.n") + F.col("empty_files")).alias("all_scanned"),
         (F.col("total_bytes") == F.col("scanned.bytes")).alias("all_bytes"),
-        patients.alias("patients"),
+        resources.alias("resources"),
     )
 
 
 def bundle_quarantine(m: Model) -> DataFrame:
-    """Every 25th patient bundle is damaged in one of four ways; only those are held back."""
-    key = F.substring("file_path", 2, 20).cast("bigint")
+    """Among all documents: every 25th patient's again, damaged in one of four ways, and empty files."""
+    key = F.substring("name", 2, 20).cast("bigint")
     kind, text = F.floor(key / 25) % 4, F.col("value")
     damaged = (
         F.when(kind == 0, F.substring(text, F.lit(1), F.length(text) - 2))
@@ -190,21 +202,25 @@ def bundle_quarantine(m: Model) -> DataFrame:
         .when(kind == 2, F.concat(text, text))
         .otherwise(F.lit('{"resourceType":"Bundle","entry":{"resource":{"resourceType":"Patient"}}}'))
     )
-    patients = sample_tables.patient_bundles(m.spark, m.sf_dir).withColumn(
-        "value", F.when(key % 25 == 0, damaged).otherwise(text)
-    )
-    others = [
-        build(m.spark, m.sf_dir)
-        for build in (
-            sample_tables.order_bundles,
-            sample_tables.encounter_bundles,
-            sample_tables.condition_bundles,
-        )
-    ]
-    files = patients
-    for other in others:
-        files = files.unionByName(other)
-    return bundles.quarantine(files).select("file_path")
+    patients = sample_tables.patient_bundles(m.spark, m.sf_dir).filter(key % 25 == 0).withColumn("value", damaged)
+    sample_tables.write_bundle_files(patients, m.bundle_dir)
+    add_empty_files(m)
+    empty = bundles.empty_files(bundles.bundle_inventory(m.spark, m.bundle_dir))
+    held = bundles.quarantine(m.files).unionByName(empty)
+    return held.select(F.regexp_extract("file_path", "name=([^/]*)", 1).alias("document"))
+
+
+# Queries over the files of all documents; the bench runs them on files written beforehand.
+OVER_FILES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "bundle_scan": bundle_scan,
+    "bundle_entries": lambda files: bundles.entries(files).select("resource_type", "resource_id"),
+    "bundle_contained": lambda files: bundles.contained(files).select("resource_type", "resource_id"),
+    "resource_type_distribution": lambda files: bundles.type_distribution(bundles.resources(files, ())),
+    **{
+        f"silver_{table}": partial(silver.silver_from_bundles, table=table)
+        for table in silver.PROJECTIONS
+    },
+}
 
 
 # --- functions --------------------------------------------------------------
@@ -300,18 +316,9 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     models: dict[str, Callable[[Model], DataFrame]] = {
         # bundles and the typed tables read from them
-        "bundle_scan": bundle_scan,
+        **{name: partial(lambda m, build: build(m.files), build=build) for name, build in OVER_FILES.items()},
         "bundle_inventory": bundle_inventory,
-        "bundle_entries": lambda m: bundles.entries(m.bundles()).select("file_path", "resource_type", "resource_id"),
-        "bundle_contained": lambda m: bundles.contained(m.bundles()).select(
-            "file_path", "resource_type", "resource_id"
-        ),
         "bundle_quarantine": bundle_quarantine,
-        "resource_type_distribution": lambda m: bundles.type_distribution(m.resources()),
-        **{
-            f"silver_{table}": partial(lambda m, t: silver.silver_table(m.resources(), t), t=table)
-            for table in silver.PROJECTIONS
-        },
         "fn_json_path": fn_json_path,
         "fn_reference_extract": fn_reference_extract,
         "fn_event_year": fn_event_year,

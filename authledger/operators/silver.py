@@ -15,6 +15,7 @@ from authledger.functions.references import (
     referenced_id,
     year_of,
 )
+from authledger.sources import bundles
 
 Columns = Callable[[Column, Column], dict[str, Column]]
 
@@ -152,6 +153,12 @@ def silver_table(resource_rows: DataFrame, table: str) -> DataFrame:
     )
 
 
+def silver_from_bundles(files: DataFrame, table: str) -> DataFrame:
+    """One typed table straight from bundle files; the parser converts only what it reads."""
+    resource_type, _ = PROJECTIONS[table]
+    return silver_table(bundles.resources(files, [table], [resource_type]), table)
+
+
 def staged_rows(resource_rows: DataFrame) -> DataFrame:
     """Resource rows labelled with the table they go to.
 

@@ -24,12 +24,12 @@ def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataF
     """Parse all bundles once; returns the distribution of resource types.
 
     The parsed rows are staged once, partitioned by target table, and each table
-    is written from its own partition. Unreadable files go to ``quarantine``.
+    is written from its own partition. Unreadable and empty files go to ``quarantine``.
     """
     bundles.assert_arrived(spark, bundle_dir)
     stage = scratch_dir(spark, "resources")
     files = bundles.read_bundles(spark, bundle_dir)
-    silver.staged_rows(bundles.resources_and_rejects(files)).write.partitionBy("target").parquet(stage)
+    stage_rows(silver.staged_rows(bundles.resources_and_rejects(files)), stage)
     staged = spark.read.parquet(stage)
 
     for table in silver.PROJECTIONS:
@@ -38,10 +38,20 @@ def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataF
     rejected = staged.filter(F.col("target") == "quarantine").select(
         "file_path", F.col("rejected_text").alias("value")
     )
-    write_table(rejected, silver_dir, "quarantine")
+    empty = bundles.empty_files(bundles.bundle_inventory(spark, bundle_dir))
+    write_table(rejected.unionByName(empty), silver_dir, "quarantine")
     return bundles.type_distribution(staged.filter(F.col("target") != "quarantine"))
 
 
+def stage_rows(rows: DataFrame, path: str) -> None:
+    """Parsed rows in one folder per target, in files bounded by bytes.
+
+    The rebalance gathers the rows of a target; Spark then cuts a large target into
+    pieces of the advisory size and merges small ones, whatever the number of tasks was.
+    """
+    rows.hint("rebalance", "target").write.partitionBy("target").parquet(path)
+
+
 def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
     """Profile written once and read three times, so the gold tables agree with each other."""
     profile = profiles.patient_profile(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql.types import StructType
 
 # Names, order and types of the stored columns are the data contract.
@@ -78,8 +80,28 @@ RESOURCE_FIELDS = {
     "diagnosis": f"array<struct<diagnosisCodeableConcept: {_CONCEPT}>>",
     "insurance": f"array<struct<preAuthRef: array<string>, coverage: {_REFERENCE}>>",
 }
-RESOURCE = ", ".join(f"{name}: {kind}" for name, kind in RESOURCE_FIELDS.items())
-CONTAINED = f"array<struct<{RESOURCE}>>"
+# What each silver table reads of a resource besides its type and id.
+TABLE_FIELDS = {
+    "patients": ("birthDate", "gender", "address", "maritalStatus"),
+    "claims": ("status", "created", "patient", "provider", "insurer", "total", "type", "diagnosis"),
+    "explanations": ("status", "outcome", "created", "patient", "claim", "payment", "insurance"),
+    "coverages": ("status", "beneficiary", "payor", "period", "type"),
+    "prior_auth": ("status", "intent", "subject", "code", "authoredOn", "reasonCode", "requester"),
+    "encounters": ("status", "period", "subject", "class", "type", "serviceProvider"),
+    "conditions": ("subject", "code", "onsetDateTime", "abatementDateTime", "clinicalStatus"),
+}
+
+
+def resource_fields(tables: Iterable[str]) -> list[str]:
+    """Fields of a resource that these tables read, in the declared order; type and id always."""
+    wanted = {"resourceType", "id"}.union(*[TABLE_FIELDS[table] for table in tables])
+    return [name for name in RESOURCE_FIELDS if name in wanted]
+
+
+def resource_type(fields: Iterable[str]) -> str:
+    """DDL of the members of a parsed resource with these fields."""
+    return ", ".join(f"{name}: {RESOURCE_FIELDS[name]}" for name in fields)
+
 
 GOLD = {
     "procedure_approval_rates": (

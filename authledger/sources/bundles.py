@@ -2,23 +2,24 @@
 
 Everything is JVM-side and narrow: a file is parsed, judged and exploded in the
 task that read it, without a shuffle. An ordinary file is parsed once, straight
-into the fields the tables need, contained resources included. Only a file with
-something odd in it is looked at a second time, resource by resource as text, to
-tell what can still be used from what makes the file unreadable.
+into the fields that the wanted tables read and nothing else, contained resources
+included. Only a file with something odd in it is looked at a second time, resource
+by resource as text, to tell what can still be used from what makes the file
+unreadable.
+
+Spark's file sources pass over files of length 0 when they plan a scan, but list
+them: an inventory starts from the listing and joins what a scan knows of each file.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from authledger.schemas import CONTAINED, RESOURCE, RESOURCE_FIELDS
+from authledger import schemas
 
-# The document is parsed as a field of an object around it: text after the
-# document, a second document or an empty file is then a syntax error.
-DOCUMENT = (
-    f"document struct<entry: array<struct<resource: struct<{RESOURCE}, contained: {CONTAINED}>>>>, "
-    "damage string"
-)
 DOCUMENT_AS_TEXT = "document struct<entry: array<struct<resource: string>>>, damage string"
 # A null list reads like an absent one but is an error.
 NULL_LIST = r'"(entry|contained)"[ \t\r\n]*:[ \t\r\n]*null'
@@ -27,100 +28,141 @@ NULL_LIST = r'"(entry|contained)"[ \t\r\n]*:[ \t\r\n]*null'
 EMPTY_RESOURCES = "'', '{}', '[]', '0', '0.0', 'false'"
 EMPTY_CONTAINERS = "'', '{}'"
 
-ROWS = f"array<struct<resource_type: string, resource_id: string, is_contained: boolean, r: struct<{RESOURCE}>>>"
-NO_ROWS = f"CAST(array() AS {ROWS})"
+ALL_TABLES = tuple(schemas.TABLE_FIELDS)
+
+# --- files ------------------------------------------------------------------
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, value), one row per file that holds anything."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), "value"
-    )
+    """(file_path, value), one row per file that holds anything, in the folder and below."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+
+
+def _one_slash(path: str) -> str:
+    """Listing and scan write the root of a local path differently."""
+    return f"regexp_replace({path}, '^file:/+', 'file:/')"
 
 
 def bundle_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, length) of every file that holds anything, from the listing alone.
+    """(file_path, length, modified) of every file in the folder and below, empty ones too.
 
-    Spark's file sources pass over files of length 0; those give no rows anyway.
+    The names are those of the file index that Spark's driver makes for any scan. Length and
+    time come from the metadata columns of the binary source, read in tasks without the
+    contents; a listed file that the scan passes over has length 0 and no time.
     """
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"), "length")
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    names = pa.table({"listed": pa.array(scan.inputFiles(), pa.string())})
+    listed = spark.createDataFrame(names).selectExpr(f"{_one_slash('listed')} AS file_path")
+    known = scan.selectExpr(
+        f"{_one_slash('_metadata.file_path')} AS scanned",
+        "_metadata.file_size AS length",
+        "_metadata.file_modification_time AS modified",
+    )
+    return listed.join(known, F.col("file_path") == F.col("scanned"), "left").select(
+        "file_path", F.coalesce("length", F.lit(0).cast("bigint")).alias("length"), "modified"
+    )
+
+
+def empty_files(inventory: DataFrame) -> DataFrame:
+    """(file_path, value) of the files without any content; they cannot be read as bundles."""
+    return inventory.filter("length = 0").select("file_path", F.lit("").alias("value"))
 
 
 def arrival_report(inventory: DataFrame) -> DataFrame:
     return inventory.agg(
-        F.count("*").alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")
+        F.count("*").alias("file_count"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
+        F.count_if(F.col("length") == 0).alias("empty_files"),
     )
 
 
 def assert_arrived(spark: SparkSession, path: str) -> int:
-    """Number of bundle files below ``path``; raises when there is none."""
-    files = arrival_report(bundle_inventory(spark, path)).first()["file_count"]
+    """Number of bundle files that hold anything below ``path``; raises when there is none."""
+    report = arrival_report(bundle_inventory(spark, path)).first()
+    files = report["file_count"] - report["empty_files"]
     if files == 0:
-        raise FileNotFoundError(f"no bundle file has arrived in {path}")
+        raise FileNotFoundError(f"no bundle file has arrived in {path}; {report['empty_files']} are empty")
     return files
 
 
+# --- parsing ----------------------------------------------------------------
+
 # The expressions below are SQL text: lambdas over nested lists read better that
 # way, and each reaches Spark in one call. ``{x}`` stands for a resource.
 
-
-def _row(x: str, resource_id: str, contained: str) -> str:
-    parts = ", ".join(f"'{name}', {x}.`{name}`" for name in RESOURCE_FIELDS)
-    return (
-        f"named_struct('resource_type', coalesce({x}.resourceType, ''), 'resource_id', {resource_id}, "
-        f"'is_contained', {contained}, 'r', named_struct({parts}))"
-    )
-
-
-def _rows(x: str) -> str:
-    """A resource, followed by its contained resources (one level)."""
-    # concat is NULL for a child without id, which stays without one.
-    child = _row("child", f"concat(coalesce({x}.id, 'unknown'), '_', child.id)", "true")
-    top = f"array({_row(x, f'{x}.id', 'false')})"
-    return f"""
-        CASE WHEN {x}.contained IS NULL THEN {top}
-             ELSE concat({top}, transform({x}.contained, child -> {child})) END"""
+STRICT = "map('allowSingleQuotes', 'false', 'columnNameOfCorruptRecord', 'damage')"
+WRAPPED = """concat('{"document":', value, '}')"""
 
 
 def _json(text: str, schema: str, *options: str) -> str:
     return f"from_json({text}, '{schema}'{''.join(f', {o}' for o in options)})"
 
 
-STRICT = "map('allowSingleQuotes', 'false', 'columnNameOfCorruptRecord', 'damage')"
-WRAPPED = """concat('{"document":', value, '}')"""
+class Shape:
+    """SQL text of the parse for some fields of a resource.
 
-# Rows of an ordinary file; NULL for one with something the quick parse cannot judge.
-# transform(array(x), parsed -> ...)[0] computes x once without storing it as a column.
-QUICK_ROWS = f"""
-CASE WHEN contains(value, 'null') AND value RLIKE '{NULL_LIST}' THEN NULL ELSE
-  transform(array({_json(WRAPPED, DOCUMENT, STRICT)}), parsed ->
-    CASE WHEN parsed.damage IS NULL AND parsed.document IS NOT NULL AND NOT coalesce(
-      exists(parsed.document.entry, entry ->
-        entry IS NULL
-        OR (entry.resource IS NOT NULL AND entry.resource.resourceType IS NULL)
-        OR coalesce(exists(entry.resource.contained, child -> child IS NULL), false)), false)
-    THEN coalesce(
-      flatten(transform(parsed.document.entry, entry ->
-        CASE WHEN entry.resource IS NULL THEN {NO_ROWS} ELSE {_rows("entry.resource")} END)),
-      {NO_ROWS})
-    END)[0]
-END"""
+    The document is parsed as a field of an object around it: text after the
+    document, a second document or an empty file is then a syntax error.
+    """
 
-# Resource text that makes its whole file unusable: no object, or a contained list
-# that is none or holds anything but objects.
-UNREADABLE = f"""
-NOT startswith(resource, '{{') OR CASE
-  WHEN get_json_object(resource, '$.contained') IS NULL
-    THEN coalesce(array_contains(json_object_keys(resource), 'contained'), false)
-  WHEN get_json_object(resource, '$.contained') IN ({EMPTY_CONTAINERS}) THEN false
-  ELSE coalesce(NOT startswith(get_json_object(resource, '$.contained'), '[')
-    OR exists(from_json(get_json_object(resource, '$.contained'), 'array<string>'),
-              child -> child IS NULL OR NOT startswith(child, '{{')), true)
+    def __init__(self, fields: list[str], types: Iterable[str] | None = None):
+        self.fields = fields
+        members = schemas.resource_type(fields)
+        self.resource = f"struct<{members}, contained: array<struct<{members}>>>"
+        self.document = f"document struct<entry: array<struct<resource: {self.resource}>>>, damage string"
+        self.rows_type = (
+            f"array<struct<resource_type: string, resource_id: string, is_contained: boolean, r: struct<{members}>>>"
+        )
+        self.no_rows = f"CAST(array() AS {self.rows_type})"
+        self.types = None if types is None else ", ".join(f"'{t}'" for t in types)
+
+    def row(self, x: str, resource_id: str, contained: str) -> str:
+        parts = ", ".join(f"'{name}', {x}.`{name}`" for name in self.fields)
+        return (
+            f"named_struct('resource_type', coalesce({x}.resourceType, ''), 'resource_id', {resource_id}, "
+            f"'is_contained', {contained}, 'r', named_struct({parts}))"
+        )
+
+    def rows(self, x: str) -> str:
+        """A resource, followed by its contained resources (one level)."""
+        # concat is NULL for a child without id, which stays without one.
+        child = self.row("child", f"concat(coalesce({x}.id, 'unknown'), '_', child.id)", "true")
+        top = f"array({self.row(x, f'{x}.id', 'false')})"
+        both = f"concat({top}, transform({x}.contained, child -> {child}))"
+        return f"CASE WHEN {x}.contained IS NULL THEN {top} ELSE {both} END"
+
+    def only_wanted(self, rows: str) -> str:
+        return rows if self.types is None else f"filter({rows}, row -> row.resource_type IN ({self.types}))"
+
+    @property
+    def parsed(self) -> str:
+        """The document as a struct; NULL for one with a list that is null."""
+        return (
+            f"CASE WHEN contains(value, 'null') AND value RLIKE '{NULL_LIST}' THEN NULL "
+            f"ELSE {_json(WRAPPED, self.document, STRICT)} END"
+        )
+
+    @property
+    def quick_rows(self) -> str:
+        """Rows of an ordinary file; NULL for one with something the quick parse cannot judge."""
+        return f"""
+CASE WHEN parsed.damage IS NULL AND parsed.document IS NOT NULL AND NOT coalesce(
+  exists(parsed.document.entry, entry ->
+    entry IS NULL
+    OR (entry.resource IS NOT NULL AND entry.resource.resourceType IS NULL)
+    OR coalesce(exists(entry.resource.contained, child -> child IS NULL), false)), false)
+THEN coalesce({self.only_wanted(f'''
+  flatten(transform(parsed.document.entry, entry ->
+    CASE WHEN entry.resource IS NULL THEN {self.no_rows} ELSE {self.rows("entry.resource")} END))''')},
+  {self.no_rows})
 END"""
 
-# Rows of an odd file; NULL when it cannot be read. No entry is legal, an entry
-# that is no array of objects is not.
-ROWS_AGAIN = f"""
+    @property
+    def rows_again(self) -> str:
+        """Rows of an odd file; NULL when it cannot be read. No entry is legal, an entry
+        that is no array of objects is not."""
+        return f"""
 transform(array({_json(WRAPPED, DOCUMENT_AS_TEXT, STRICT)}), again ->
   CASE WHEN again.damage IS NULL AND again.document IS NOT NULL
     AND (again.document.entry IS NOT NULL
@@ -129,63 +171,91 @@ transform(array({_json(WRAPPED, DOCUMENT_AS_TEXT, STRICT)}), again ->
     AND NOT coalesce(exists(
       filter(again.document.entry.resource, x -> x IS NOT NULL AND x NOT IN ({EMPTY_RESOURCES})),
       resource -> {UNREADABLE}), false)
-  THEN coalesce(
+  THEN coalesce({self.only_wanted(f'''
     flatten(transform(
       transform(
         filter(again.document.entry.resource, x -> x IS NOT NULL AND x NOT IN ({EMPTY_RESOURCES})),
-        resource -> {_json("resource", f"struct<{RESOURCE}, contained: {CONTAINED}>")}),
-      part -> {_rows("part")})),
-    {NO_ROWS})
+        resource -> {_json("resource", self.resource)}),
+      part -> {self.rows("part")}))''')},
+    {self.no_rows})
   END)[0]"""
 
 
+# Resource text that makes its whole file unusable: no object, or a contained list
+# that is none or holds anything but objects.
+UNREADABLE = f"""
+NOT startswith(resource, '{{') OR CASE
+  WHEN get_json_object(resource, '$.contained') IS NULL
+    THEN coalesce(array_contains(json_object_keys(resource), 'contained'), false)
+  WHEN get_json_object(resource, '$.contained') IN ({EMPTY_CONTAINERS}) THEN false
+  ELSE coalesce(NOT startswith(get_json_object(resource, '$.contained'), '[')
+    OR exists(from_json(get_json_object(resource, '$.contained'), 'array<string>'),
+              child -> child IS NULL OR NOT startswith(child, '{{')), true)
+END"""
+
+
 # --- results ----------------------------------------------------------------
 
 
-def examine(files: DataFrame) -> DataFrame:
+def _shape(tables: Iterable[str], types: Iterable[str] | None = None) -> Shape:
+    return Shape(schemas.resource_fields(tables), types)
+
+
+def examine(files: DataFrame, shape: Shape) -> DataFrame:
     """(file_path, value) -> (file_path, value, rows); rows is NULL for an unreadable file."""
-    return files.withColumn("quick_rows", F.expr(QUICK_ROWS)).select(
+    quick = files.withColumn("parsed", F.expr(shape.parsed)).select(
+        "file_path", "value", F.expr(shape.quick_rows).alias("quick_rows")
+    )
+    return quick.select(
         "file_path",
         "value",
-        F.expr(f"CASE WHEN quick_rows IS NOT NULL THEN quick_rows ELSE {ROWS_AGAIN} END").alias("rows"),
+        F.expr(f"CASE WHEN quick_rows IS NOT NULL THEN quick_rows ELSE {shape.rows_again} END").alias("rows"),
     )
 
 
-def resources(files: DataFrame) -> DataFrame:
+def resources(files: DataFrame, tables: Iterable[str] = ALL_TABLES, types: Iterable[str] | None = None) -> DataFrame:
     """(file_path, resource_type, resource_id, is_contained, r) of all readable files.
 
+    ``r`` has the fields that ``tables`` read; no other field is converted by the
+    parser. With ``types`` other resources are left out before the rows are made.
     A rejected file gives an empty list. A filter on it would be pushed below the
     parse and repeat the parse for every use inside the condition.
     """
-    return examine(files).select("file_path", F.expr(f"inline(coalesce(rows, {NO_ROWS}))"))
+    shape = _shape(tables, types)
+    return examine(files, shape).select("file_path", F.expr(f"inline(coalesce(rows, {shape.no_rows}))"))
 
 
 def entries(files: DataFrame) -> DataFrame:
-    """Top-level resources only."""
-    return resources(files).filter(~F.col("is_contained"))
+    """Type and id of the top-level resources."""
+    return resources(files, ()).filter(~F.col("is_contained")).drop("r")
 
 
 def contained(files: DataFrame) -> DataFrame:
-    """Contained resources only, under their parent's id."""
-    return resources(files).filter("is_contained")
+    """Type and id of the contained resources, under their parent's id."""
+    return resources(files, ()).filter("is_contained").drop("r")
 
 
 def quarantine(files: DataFrame) -> DataFrame:
-    """(file_path, value) of the files that give no rows because they cannot be read."""
+    """(file_path, value) of the files that give no rows because they cannot be read.
+
+    Whether a file can be read is decided with all fields: the first look at it judges the
+    shape of the lists only, which is the same for any choice of fields.
+    """
     text = F.array(F.struct("value"))
-    return examine(files).select(
+    return examine(files, _shape(())).select(
         "file_path", F.inline(F.when(F.col("rows").isNull(), text).otherwise(F.slice(text, 1, 0)))
     )
 
 
-def resources_and_rejects(files: DataFrame) -> DataFrame:
+def resources_and_rejects(files: DataFrame, tables: Iterable[str] = ALL_TABLES) -> DataFrame:
     """Both of the above in one pass: a rejected file is one row with ``rejected_text`` set."""
+    shape = _shape(tables)
     # The text travels with rejected files only, not with every exploded row.
-    judged = examine(files).select(
+    judged = examine(files, shape).select(
         "file_path", "rows", F.when(F.col("rows").isNull(), F.col("value")).alias("rejected_text")
     )
     return judged.select(
-        "file_path", "rejected_text", F.expr(f"inline(coalesce(rows, CAST(array(NULL) AS {ROWS})))")
+        "file_path", "rejected_text", F.expr(f"inline(coalesce(rows, CAST(array(NULL) AS {shape.rows_type})))")
     )
 
 

@@ -7,6 +7,8 @@ documents (``bundles``). All mappings are row by row or foreign-key joins.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from authledger import schemas
@@ -342,61 +344,47 @@ def document(bundle_id: Column, resources: Column) -> Column:
 
 
 def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value): a document for each patient."""
     return patients(spark, sf_dir).select(
-        F.col("patient_id").alias("file_path"),
+        F.col("patient_id").alias("name"),
         document(F.col("patient_id"), F.array(_patient_resource())).alias("value"),
     )
 
 
-def order_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claim and explanation of benefits, the latter with two contained resources."""
-    key = tagged("O", "o_orderkey")
-    return _orders_with_segment(spark, sf_dir).select(
-        key.alias("file_path"),
-        document(key, F.array(_claim_resource(), _explanation_resource())).alias("value"),
-    )
-
-
-def encounter_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encounters(spark, sf_dir).select(
-        F.col("encounter_id").alias("file_path"),
-        document(F.col("encounter_id"), F.array(_encounter_resource())).alias("value"),
-    )
-
-
-def condition_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conditions(spark, sf_dir).select(
-        F.col("condition_id").alias("file_path"),
-        document(F.col("condition_id"), F.array(_condition_resource())).alias("value"),
-    )
-
-
-def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file_path, value) of all bundles, built row by row without grouping."""
-    return (
-        patient_bundles(spark, sf_dir)
-        .unionByName(order_bundles(spark, sf_dir))
-        .unionByName(encounter_bundles(spark, sf_dir))
-        .unionByName(condition_bundles(spark, sf_dir))
-    )
+def resource_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(resource) JSON text of all patients, claims, explanations (with two contained
+    resources each), encounters and conditions."""
+    orders = _orders_with_segment(spark, sf_dir)
+    parts = [
+        patients(spark, sf_dir).select(_patient_resource().alias("resource")),
+        orders.select(F.explode(F.array(_claim_resource(), _explanation_resource())).alias("resource")),
+        encounters(spark, sf_dir).select(_encounter_resource().alias("resource")),
+        conditions(spark, sf_dir).select(_condition_resource().alias("resource")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def patient_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bundles of up to 128 patients, in the order the customers are read.
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): bundles of up to 128 resources, all kinds mixed.
 
-    The page is taken from the row number inside the reading task, so no value in
-    the data can make a page larger.
+    The rows are dealt out evenly, and the page is taken from the row number inside the
+    task, so that no value in the data can make a page larger.
     """
-    page = F.shiftright(F.monotonically_increasing_id(), 7)
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    paged = table(spark, sf_dir, "customer").withColumn("page", page)
-    members = _patients(paged, nations).groupBy("page").agg(
-        F.collect_list(_patient_resource()).alias("resources")
-    )
+    dealt = resource_texts(spark, sf_dir).hint("rebalance")
+    page = F.shiftright(F.monotonically_increasing_id(), 7).alias("page")
+    filled = dealt.select(page, "resource").groupBy("page").agg(F.collect_list("resource").alias("resources"))
     name = F.concat(F.lit("page-"), F.col("page").cast("string"))
-    return members.select(name.alias("file_path"), document(name, F.col("resources")).alias("value"))
+    return filled.select(document(name, F.col("resources")).alias("value"))
 
 
 def write_bundle_files(files: DataFrame, path: str) -> None:
-    """One file per document."""
-    files.select("value").write.option("maxRecordsPerFile", 1).mode("overwrite").text(path)
+    """One file per document; with a column ``name``, in a folder ``name=...`` each."""
+    writer = files.select(*[c for c in ("name", "value") if c in files.columns]).write.option("maxRecordsPerFile", 1)
+    if "name" in files.columns:
+        writer = writer.partitionBy("name")
+    writer.mode("append").text(path)
+
+
+def write_empty_file(spark: SparkSession, path: str) -> None:
+    """A file of length 0: what the text writer leaves of no rows."""
+    spark.createDataFrame([], "value string").write.mode("append").text(path)

@@ -221,13 +221,13 @@ def millions(cents: str) -> str:
 
 # --- bundles ----------------------------------------------------------------
 
-TOP_LEVEL = """SELECT 'P' || c_custkey AS file_path, 'Patient' AS resource_type, 'P' || c_custkey AS resource_id FROM customer
-  UNION ALL SELECT 'O' || k, 'Claim', 'C' || k FROM o
-  UNION ALL SELECT 'O' || k, 'ExplanationOfBenefit', 'E' || k FROM o
-  UNION ALL SELECT id, 'Encounter', id FROM ev
-  UNION ALL SELECT id, 'Condition', id FROM cond"""
-CONTAINED = """SELECT 'O' || k AS file_path, 'Coverage' AS resource_type, 'E' || k || '_coverage' AS resource_id FROM o
-  UNION ALL SELECT 'O' || k, 'ServiceRequest', 'E' || k || '_referral' FROM o"""
+TOP_LEVEL = """SELECT 'Patient' AS resource_type, 'P' || c_custkey AS resource_id FROM customer
+  UNION ALL SELECT 'Claim', 'C' || k FROM o
+  UNION ALL SELECT 'ExplanationOfBenefit', 'E' || k FROM o
+  UNION ALL SELECT 'Encounter', id FROM ev
+  UNION ALL SELECT 'Condition', id FROM cond"""
+CONTAINED = """SELECT 'Coverage' AS resource_type, 'E' || k || '_coverage' AS resource_id FROM o
+  UNION ALL SELECT 'ServiceRequest', 'E' || k || '_referral' FROM o"""
 
 # --- quality ----------------------------------------------------------------
 
@@ -314,12 +314,14 @@ def oracles() -> dict[str, str]:
                  ELSE 'NO_ACTION' END AS recommended_action
             FROM pa WHERE tier IN ('HIGH', 'MEDIUM')""",
         # bundles
-        "bundle_scan": "SELECT 'Patient' AS resource_type, 'P' || c_custkey AS resource_id FROM customer",
-        "bundle_inventory": """SELECT true AS arrived, true AS all_scanned, true AS all_bytes, count(*) AS patients
-            FROM customer""",
+        "bundle_scan": f"""{DOMAIN} SELECT resource_type, count(*) AS resources, true AS bounded, true AS mixed
+            FROM ({TOP_LEVEL}) GROUP BY resource_type""",
+        "bundle_inventory": f"""{DOMAIN} SELECT true AS arrived, CAST(4 AS BIGINT) AS empty_files, true AS all_scanned,
+            true AS all_bytes, count(*) AS resources FROM ({TOP_LEVEL})""",
         "bundle_entries": f"{DOMAIN} {TOP_LEVEL}",
         "bundle_contained": f"{DOMAIN} {CONTAINED}",
-        "bundle_quarantine": "SELECT 'P' || c_custkey AS file_path FROM customer WHERE c_custkey % 25 = 0",
+        "bundle_quarantine": """SELECT 'P' || c_custkey AS document FROM customer WHERE c_custkey % 25 = 0
+            UNION ALL SELECT unnest(['empty-patient', 'empty-order', 'empty-encounter', 'empty-condition'])""",
         "resource_type_distribution": f"""{DOMAIN} SELECT resource_type, count(*) AS count
             FROM ({TOP_LEVEL} UNION ALL {CONTAINED}) GROUP BY resource_type ORDER BY count DESC, resource_type LIMIT 30""",
         # functions

@@ -2,7 +2,8 @@ import json
 
 import pytest
 
-from authledger.operators.silver import silver_table, staged_rows
+from authledger import schemas
+from authledger.operators.silver import PROJECTIONS, silver_from_bundles, silver_table, staged_rows
 from authledger.sources import bundles
 
 
@@ -125,9 +126,38 @@ def test_files_are_read_whole(spark, tmp_path):
     assert bundles.assert_arrived(spark, path) == 1
 
 
+def test_inventory_holds_empty_files_and_odd_names(spark, tmp_path):
+    (tmp_path / "deep er" / "name=x y").mkdir(parents=True)
+    (tmp_path / "a b.json").write_text(GOOD)
+    (tmp_path / "deep er" / "é.json").write_text("")
+    (tmp_path / "deep er" / "name=x y" / "c.json").write_text("")
+    (tmp_path / "_SUCCESS").write_text("")
+    inventory = bundles.bundle_inventory(spark, str(tmp_path))
+    found = {r.file_path.rsplit("/", 1)[1]: (r.length, r.modified is None) for r in inventory.collect()}
+    assert found == {"a%20b.json": (len(GOOD), False), "é.json": (0, True), "c.json": (0, True)}
+    assert tuple(bundles.arrival_report(inventory).first()) == (3, len(GOOD), 2)
+    assert {r.value for r in bundles.empty_files(inventory).collect()} == {""}
+    read = bundles.read_bundles(spark, str(tmp_path)).join(inventory, "file_path")
+    assert [(r.value, r.length) for r in read.collect()] == [(GOOD, len(GOOD))]
+
+
+@pytest.mark.parametrize("table", schemas.TABLE_FIELDS)
+def test_pruned_parse_gives_the_same_rows(files, table):
+    resource_type = PROJECTIONS[table][0]
+    whole = silver_table(bundles.resources(files), table)
+    pruned = silver_from_bundles(files, table)
+    assert pruned.schema == whole.schema
+    assert sorted(map(repr, pruned.collect())) == sorted(map(repr, whole.collect()))
+    types = {r.resource_type for r in bundles.resources(files, [table], [resource_type]).collect()}
+    assert types <= {resource_type}
+
+
 def test_arrival_check_raises_on_an_empty_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="no bundle file"):
         bundles.assert_arrived(spark, str(tmp_path))
+    (tmp_path / "empty.json").write_text("")
+    with pytest.raises(FileNotFoundError, match="1 are empty"):
+        bundles.assert_arrived(spark, str(tmp_path))
 
 
 def one(spark, table, resource):

@@ -18,15 +18,9 @@ from authledger.sources.tables import read_table
 def roots(spark, sample, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     paths = {name: f"{root}/{name}" for name in ("bundles", "silver", "gold", "marts", "report")}
-    # A few large files; fifty documents are merged into one bundle each.
-    page = F.expr("pmod(hash(file_path), 50)")
-    entries = F.flatten(F.collect_list(F.from_json(F.get_json_object("value", "$.entry"), "array<struct<resource: string>>")))
-    merged = sample_tables.bundles(spark, sample).groupBy(page.alias("file_path")).agg(entries.alias("e"))
-    files = merged.select(
-        "file_path", sample_tables.document(F.col("file_path").cast("string"), F.col("e.resource")).alias("value")
-    )
-    sample_tables.write_bundle_files(files, paths["bundles"])
+    sample_tables.write_bundle_files(sample_tables.pages(spark, sample), paths["bundles"])
     (root / "bundles" / "broken.json").write_text('{"entry": [')
+    (root / "bundles" / "empty.json").write_text("")
     (root / "bundles" / "other.json").write_text(json.dumps({"entry": [{"resource": {"resourceType": "Observation"}}]}))
     paths["distribution"] = jobs.build_silver(spark, paths["bundles"], paths["silver"]).collect()
     jobs.build_gold(spark, paths["silver"], paths["gold"])
@@ -48,7 +42,27 @@ def test_distribution_and_quarantine(spark, roots):
     counts = {r.resource_type: r["count"] for r in roots["distribution"]}
     assert (counts["Claim"], counts["Coverage"], counts["Observation"]) == (1500, 1500, 1)
     held = spark.read.parquet(f"{roots['silver']}/quarantine").collect()
-    assert [(r.file_path.rsplit("/", 1)[1], r.value) for r in held] == [("broken.json", '{"entry": [')]
+    assert {r.file_path.rsplit("/", 1)[1]: r.value for r in held} == {"broken.json": '{"entry": [', "empty.json": ""}
+
+
+def test_staged_files_are_bounded_by_bytes(spark, sample, tmp_path):
+    """A target far larger than the others is cut, small ones get one file, whatever the tasks are."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 100 < 97, "claims").when(F.col("id") % 100 < 99, "patients").otherwise("other").alias("target"),
+        F.sha2(F.col("id").cast("string"), 256).alias("r"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        jobs.stage_rows(rows.repartition(40), str(tmp_path / "staged"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = {}
+    for file in (tmp_path / "staged").glob("target=*/*.parquet"):
+        sizes.setdefault(file.parent.name, []).append(file.stat().st_size)
+    assert {name: len(found) for name, found in sizes.items() if name != "target=claims"} == {"target=patients": 1, "target=other": 1}
+    assert 4 <= len(sizes["target=claims"]) <= 12
+    assert max(map(max, sizes.values())) < 1_000_000
+    assert spark.read.parquet(str(tmp_path / "staged")).count() == 60_000
 
 
 def test_gold_equals_the_queries(spark, sample, roots):

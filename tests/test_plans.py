@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as registry
+from authledger import schemas
 from authledger.operators import silver
 from authledger.sources import bundles, sample_tables
 
@@ -75,6 +76,16 @@ def test_bundles_are_parsed_once_without_a_shuffle(spark, tmp_path):
         assert text.count('from_json(StructField(document,StructType(StructField(entry,ArrayType(StructType(StructField(resource,StructType') == 1
 
 
+@pytest.mark.parametrize("table", schemas.TABLE_FIELDS)
+def test_parser_converts_only_what_a_table_reads(spark, tmp_path, table):
+    (tmp_path / "a.json").write_text('{"entry": []}')
+    text = plan(silver.silver_from_bundles(bundles.read_bundles(spark, str(tmp_path)), table))
+    # "code" is a part of other fields as well.
+    parsed = set(re.findall(r"StructField\((\w+),", text)) & set(schemas.RESOURCE_FIELDS) - {"code"}
+    assert parsed == set(schemas.resource_fields([table])) - {"code"}
+    assert text.count("Generate") == 1 and "Exchange" not in text
+
+
 def test_top_k_is_cut_before_the_shuffle(spark, sample):
     text = query_plan(spark, sample, "explorer_top_requests")
     partial = text.index("5000, Partial")
