@@ -5,8 +5,9 @@ from __future__ import annotations
 import operator
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from functools import cached_property, partial
+from functools import cached_property, partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -47,6 +48,34 @@ class Model:
         tables.write_table(profile, root, jobs.PROFILE)
         return self.spark.read.schema(profile.schema).parquet(f"{root}/{jobs.PROFILE}")
 
+    @cached_property
+    def stored_scores(self) -> DataFrame:
+        """The scored requests as a stored table, which the explorer reads more than once."""
+        root = scratch_dir(self.spark, "scores")
+        tables.write_table(self.scores, root, "pa_risk_scores")
+        return tables.read_table(self.spark, root, "pa_risk_scores")
+
+    @cached_property
+    def lake(self) -> dict[str, str]:
+        """All silver, gold and mart tables as the batch jobs store them: layer -> folder."""
+        root = scratch_dir(self.spark, "lake")
+        lake = {layer: f"{root}/{layer}" for layer in ("silver", "gold", "marts")}
+        for table in silver.PROJECTIONS:
+            tables.write_table(self.silver(table), lake["silver"], table)
+        jobs.build_gold(self.spark, lake["silver"], lake["gold"])
+        jobs.build_marts(self.spark, lake["gold"], lake["marts"])
+        return lake
+
+    @cached_property
+    def database(self) -> str:
+        """The lake published in a database of its own."""
+        name = f"authledger_{uuid.uuid4().hex}"
+        jobs.publish(self.spark, self.lake["silver"], self.lake["gold"], self.lake["marts"], name)
+        return name
+
+    def named(self, table: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{table}")
+
     @cached_property
     def insured(self) -> DataFrame:
         return profiles.with_payer(self.profile)
@@ -114,24 +143,15 @@ class Model:
     def files(self) -> DataFrame:
         return bundles.read_bundles(self.spark, self.bundle_dir)
 
+    @cached_property
     def report(self) -> DataFrame:
-        checked = {
-            **sample_tables.silver(self.spark, self.sf_dir),
-            "pa_risk_scores": self.scores,
-            "procedure_approval_rates": self.rates,
-            "payer_performance": self.performance,
-            **{name: getattr(self, name) for name in quality.MART_MINIMUM_ROWS},
-        }
-        minimums = {**quality.MINIMUM_ROWS, **quality.MART_MINIMUM_ROWS}
-        return quality.quality_report(self.spark, checked, minimums)
+        return jobs.quality_report(self.spark, self.lake["silver"], self.lake["gold"], self.lake["marts"])
 
 
 # Queries that read the profiles on more than one path.
 SEVERAL_PATHS = {
     "mart_pa_compliance_scorecard",
     "mart_payer_benchmarks",
-    "view_pa_compliance_scorecard",
-    "view_payer_benchmarks",
     "dash_scorecard_kpis",
     "dash_scorecard_bars",
     "dash_scorecard_detail",
@@ -139,8 +159,6 @@ SEVERAL_PATHS = {
     "dash_market_flag",
     "dash_revenue_by_payer",
     "dash_payer_ranking",
-    "quality_report",
-    "quality_failures",
 }
 
 
@@ -284,28 +302,58 @@ def fn_safe_cast(m: Model) -> DataFrame:
 # --- stored tables ----------------------------------------------------------
 
 
-def stored(m: Model, table: str) -> DataFrame:
+def round_trip(m: Model, table: str) -> DataFrame:
+    """A silver table written and read back; one with years in two steps, by year."""
+    root, df = scratch_dir(m.spark, "tables"), m.silver(table)
+    year = schemas.PARTITION_COLUMNS.get(table)
+    if year is None:
+        tables.write_table(df, root, table)
+    else:
+        # Odd years are written twice: by the first job, and by one that replaces only them.
+        tables.write_table(df, root, table)
+        tables.overwrite_years(df.filter(F.col(year) % 2 == 1), root, table)
+    return tables.read_table(m.spark, root, table)
+
+
+def gold_round_trip(m: Model, table: str) -> DataFrame:
+    """A gold table replaced by a second run and read back."""
     root = scratch_dir(m.spark, "tables")
-    tables.write_table(m.silver(table), root, table)
+    df = {"procedure_approval_rates": m.rates, "payer_performance": m.performance, "pa_risk_scores": m.scores}[table]
+    tables.write_table(df.limit(0), root, table)
+    tables.write_table(df, root, table)
     return tables.read_table(m.spark, root, table)
 
 
-def catalog_tables(m: Model) -> DataFrame:
-    root, database = scratch_dir(m.spark, "catalog"), "authledger_catalog"
-    tables.create_database(m.spark, database, f"{root}/{database}")
-    counted = {}
-    for table in ("patients", "claims"):
-        tables.write_table(m.silver(table), root, table)
-        tables.register_table(m.spark, root, table, database)
-        counted[table] = m.spark.table(f"{database}.{table}")
-    partition = F.when(F.col("table_name") == "claims", schemas.PARTITION_COLUMNS["claims"])
-    return quality.row_counts(counted).select(
-        "table_name", partition.alias("partition_column"), "row_count"
+def mart_round_trip(m: Model, table: str) -> DataFrame:
+    root = scratch_dir(m.spark, "tables")
+    tables.write_table(getattr(m, table), root, table)
+    return m.spark.read.parquet(f"{root}/{table}")
+
+
+def mart_high_risk_order(m: Model) -> DataFrame:
+    """The order in which the stored mart is read, taken from its files."""
+    root = scratch_dir(m.spark, "tables")
+    tables.write_clustered(m.mart_high_risk_pa_requests, root, jobs.HIGH_RISK, *marts.urgent_first())
+    return tables.read_positions(m.spark, root, jobs.HIGH_RISK).select(
+        "position", "service_request_id", "priority_score"
     )
 
 
+def catalog_tables(m: Model) -> DataFrame:
+    """Every table and view of the catalog, read by name."""
+    counts = [
+        m.named(name).agg(F.count("*").alias("row_count")).select(
+            F.lit(name).alias("table_name"),
+            F.lit(tables.partition_column(m.spark, m.database, name)).cast("string").alias("partition_column"),
+            "row_count",
+        )
+        for name in (*silver.PROJECTIONS, *schemas.GOLD, *quality.MART_MINIMUM_ROWS, *serving.VIEW_TABLES)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def high(m: Model) -> DataFrame:
-    return serving.explorer_filter(m.scores)
+    return serving.explorer_filter(m.stored_scores)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -333,9 +381,7 @@ def queries() -> dict[str, Query]:
         "pa_risk_scores": lambda m: m.scores,
         "report_risk_tiers": lambda m: scoring.report_risk_tiers(m.scores),
         "report_risk_by_payer": lambda m: scoring.report_risk_by_payer(m.scores),
-        "step_counts": lambda m: jobs.step_counts(
-            m.silver("claims"), m.silver("explanations"), m.silver("coverages"), m.silver("prior_auth")
-        ),
+        "step_counts": lambda m: jobs.step_counts(m.spark, m.lake["silver"], m.lake["gold"]),
         # staging and marts
         "stg_approval_rates": lambda m: m.staged_rates,
         "stg_payer_performance": lambda m: m.staged_performance,
@@ -343,9 +389,8 @@ def queries() -> dict[str, Query]:
         "payer_summary": lambda m: marts.payer_summary(m.staged_rates),
         **{name: operator.attrgetter(name) for name in quality.MART_MINIMUM_ROWS},
         # serving
-        "view_pa_compliance_scorecard": lambda m: m.scorecard,
-        "view_revenue_at_risk": lambda m: m.revenue,
-        "view_payer_benchmarks": lambda m: m.benchmarks,
+        **{f"view{view[2:]}": partial(Model.named, table=view) for view in serving.VIEW_TABLES},
+        "mart_high_risk_order": mart_high_risk_order,
         "dash_scorecard_kpis": lambda m: serving.scorecard_kpis(m.scorecard),
         "dash_scorecard_bars": lambda m: serving.scorecard_bars(m.scorecard),
         "dash_scorecard_detail": lambda m: serving.scorecard_detail(m.scorecard),
@@ -356,9 +401,12 @@ def queries() -> dict[str, Query]:
         "dash_market_flag": lambda m: serving.market_flag(m.benchmarks),
         "dash_revenue_by_payer": lambda m: serving.revenue_by_payer(m.benchmarks),
         "dash_payer_ranking": lambda m: serving.payer_ranking(m.benchmarks),
-        "explorer_top_requests": lambda m: serving.explorer_top_requests(m.scores),
-        "explorer_options": lambda m: serving.explorer_options(serving.explorer_top_requests(m.scores)),
+        "explorer_top_requests": lambda m: serving.explorer_top_requests(m.stored_scores),
+        "explorer_options": lambda m: serving.explorer_options(serving.explorer_top_requests(m.stored_scores)),
         "explorer_filter": high,
+        "explorer_filter_unknown_payer": lambda m: serving.explorer_filter(
+            m.stored_scores, payers=[None, "SECONDARY"], tiers=["HIGH", "MEDIUM"]
+        ),
         "explorer_filter_all_rows": lambda m: serving.explorer_filter(
             m.scores,
             payers=["NO_INSURANCE", "SECONDARY"],
@@ -368,14 +416,16 @@ def queries() -> dict[str, Query]:
         ),
         "explorer_kpis": lambda m: serving.explorer_kpis(high(m)),
         "explorer_score_histogram": lambda m: serving.explorer_score_histogram(
-            serving.explorer_filter(m.scores, tiers=[])
+            serving.explorer_filter(m.stored_scores, tiers=[])
         ),
         "explorer_detail": lambda m: serving.explorer_detail(high(m)),
         # quality, stored tables, catalog
-        "quality_report": lambda m: m.report(),
-        "quality_failures": lambda m: quality.quality_failures(m.report()),
-        "roundtrip_patients": partial(stored, table="patients"),
-        "roundtrip_claims_year": partial(stored, table="claims"),
+        "quality_report": lambda m: m.report,
+        "quality_failures": lambda m: quality.quality_failures(m.report),
+        **{f"roundtrip_{t}": partial(round_trip, table=t) for t in silver.PROJECTIONS if t != "claims"},
+        "roundtrip_claims_year": partial(round_trip, table="claims"),
+        **{f"roundtrip_{t}": partial(gold_round_trip, table=t) for t in schemas.GOLD},
+        **{f"roundtrip_{t}": partial(mart_round_trip, table=t) for t in quality.MART_MINIMUM_ROWS},
         "catalog_tables": catalog_tables,
     }
     return {name: over_model(build, name in SEVERAL_PATHS) for name, build in models.items()} | corpus_queries()[0]

@@ -22,5 +22,6 @@ def year_of(text: Column) -> Column:
 
 
 def number_of(text: Column) -> Column:
-    """Double, or NULL for text that is no number."""
-    return text.try_cast("double")
+    """Double, or NULL for text that is no number; an infinity is none."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)

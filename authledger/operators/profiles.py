@@ -67,10 +67,14 @@ def patient_profile(claims: DataFrame, explanations: DataFrame, coverages: DataF
     The three inputs are aggregated on the patient before they are joined, so each
     is shuffled once, as partial aggregates, and the joins reuse that partitioning.
     """
+    return joined_profile(claims_by_patient(claims), eob_by_patient(explanations), coverage_current(coverages))
+
+
+def joined_profile(claims: DataFrame, explanations: DataFrame, coverage: DataFrame) -> DataFrame:
+    """The profile out of the three aggregates per patient."""
     return (
-        claims_by_patient(claims)
-        .join(eob_by_patient(explanations), "patient_id")
-        .join(coverage_current(coverages), "patient_id", "left")
+        claims.join(explanations, "patient_id")
+        .join(coverage, "patient_id", "left")
         .select(
             "patient_id",
             "primary_claim_type",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,7 +55,7 @@ def _claims(r: Column, rid: Column) -> dict[str, Column]:
         "patient_id": patient_of(r["patient"]),
         "provider_id": referenced_id(r["provider"]["reference"], PRACTITIONER_REFERENCE),
         "payer_id": referenced_id(r["insurer"]["reference"], ORGANIZATION_REFERENCE),
-        "total_submitted_charge": number_of(F.get_json_object(r["total"], "$.value")),
+        "total_submitted_charge": number_of(AMOUNT_TEXT["claims"](r)),
         "claim_type": F.get_json_object(r["type"], "$.coding[0].code"),
         "primary_diagnosis_code": first_code(diagnosis),
         "primary_diagnosis_desc": diagnosis["text"],
@@ -71,7 +72,7 @@ def _explanations(r: Column, rid: Column) -> dict[str, Column]:
         "eob_year": year_of(r["created"]),
         "patient_id": patient_of(r["patient"]),
         "claim_id": referenced_id(r["claim"]["reference"], CLAIM_REFERENCE),
-        "payment_amount": number_of(r["payment"]["amount"]["value"]),
+        "payment_amount": number_of(AMOUNT_TEXT["explanations"](r)),
         "prior_auth_ref": first(insurance["preAuthRef"]),
         "coverage_ref": insurance["coverage"]["reference"],
     }
@@ -132,6 +133,13 @@ def _conditions(r: Column, rid: Column) -> dict[str, Column]:
     }
 
 
+# Amounts as they stand in a resource.
+AMOUNT_TEXT: dict[str, Callable[[Column], Column]] = {
+    "claims": lambda r: F.get_json_object(r["total"], "$.value"),
+    "explanations": lambda r: r["payment"]["amount"]["value"],
+}
+
+
 # Table -> resource type and its columns.
 PROJECTIONS: dict[str, tuple[str, Columns]] = {
     "patients": ("Patient", _patients),
@@ -153,6 +161,21 @@ def silver_table(resource_rows: DataFrame, table: str) -> DataFrame:
     )
 
 
+def unusable_amounts(resource_rows: DataFrame) -> DataFrame:
+    """(table_name, resource_id, amount) of amounts that are there but are no finite number.
+
+    They are NULL in the typed tables; this is what was found in their place.
+    """
+    parts = []
+    for table, text in AMOUNT_TEXT.items():
+        amount = text(F.col("r"))
+        parts.append(
+            resource_rows.filter((F.col("resource_type") == PROJECTIONS[table][0]) & amount.isNotNull() & number_of(amount).isNull())
+            .select(F.lit(table).alias("table_name"), "resource_id", amount.alias("amount"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_from_bundles(files: DataFrame, table: str) -> DataFrame:
     """One typed table straight from bundle files; the parser converts only what it reads."""
     resource_type, _ = PROJECTIONS[table]

@@ -14,17 +14,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from authledger.operators import profiles, scoring, silver
 from authledger.plans import marts, quality, serving, staging
 from authledger.session import scratch_dir
+from authledger import schemas
 from authledger.sources import bundles
-from authledger.sources.tables import read_table, write_table
+from authledger.sources.tables import (
+    count_stored,
+    create_database,
+    read_table,
+    register_table,
+    write_clustered,
+    write_table,
+)
 
 PROFILE = "patient_profile"
+HIGH_RISK = "mart_high_risk_pa_requests"
 
 
 def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataFrame:
     """Parse all bundles once; returns the distribution of resource types.
 
     The parsed rows are staged once, partitioned by target table, and each table
-    is written from its own partition. Unreadable and empty files go to ``quarantine``.
+    is written from its own partition. Unreadable and empty files go to ``quarantine``,
+    amounts that are no number to ``unusable_amounts``.
     """
     bundles.assert_arrived(spark, bundle_dir)
     stage = scratch_dir(spark, "resources")
@@ -40,6 +50,8 @@ def build_silver(spark: SparkSession, bundle_dir: str, silver_dir: str) -> DataF
     )
     empty = bundles.empty_files(bundles.bundle_inventory(spark, bundle_dir))
     write_table(rejected.unionByName(empty), silver_dir, "quarantine")
+    amounts = silver.unusable_amounts(staged.filter(F.col("target").isin(*silver.AMOUNT_TEXT)))
+    write_table(amounts, silver_dir, "unusable_amounts")
     return bundles.type_distribution(staged.filter(F.col("target") != "quarantine"))
 
 
@@ -53,14 +65,21 @@ def stage_rows(rows: DataFrame, path: str) -> None:
 
 
 def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
-    """Profile written once and read three times, so the gold tables agree with each other."""
-    profile = profiles.patient_profile(
-        read_table(spark, silver_dir, "claims"),
-        read_table(spark, silver_dir, "explanations"),
-        read_table(spark, silver_dir, "coverages"),
-    )
+    """Aggregates per patient, profile and gold tables, each stored and read back by the next step.
+
+    Every step can be counted from its files, and a failed job goes on from the last one.
+    """
+    steps = {
+        "claims_by_patient": profiles.claims_by_patient(read_table(spark, silver_dir, "claims")),
+        "eob_by_patient": profiles.eob_by_patient(read_table(spark, silver_dir, "explanations")),
+        "coverage_current": profiles.coverage_current(read_table(spark, silver_dir, "coverages")),
+    }
+    for name, df in steps.items():
+        write_table(df, gold_dir, name)
+    stored = [spark.read.schema(df.schema).parquet(f"{gold_dir}/{name}") for name, df in steps.items()]
+    profile = profiles.joined_profile(*stored)
     write_table(profile, gold_dir, PROFILE)
-    insured = profiles.with_payer(spark.read.parquet(f"{gold_dir}/{PROFILE}"))
+    insured = profiles.with_payer(spark.read.schema(profile.schema).parquet(f"{gold_dir}/{PROFILE}"))
     write_table(scoring.procedure_approval_rates(insured), gold_dir, "procedure_approval_rates")
     write_table(scoring.payer_performance(insured), gold_dir, "payer_performance")
     requests = read_table(spark, silver_dir, "prior_auth")
@@ -85,29 +104,31 @@ def mart_tables(
 
 
 def build_marts(spark: SparkSession, gold_dir: str, mart_dir: str, as_of: datetime | None = None) -> None:
+    """The marts; the one that holds requests is stored in ranges of its order."""
     gold = [
         read_table(spark, gold_dir, t)
         for t in ("procedure_approval_rates", "payer_performance", "pa_risk_scores")
     ]
     for name, df in mart_tables(*gold, as_of=as_of or datetime.now()).items():
-        write_table(df, mart_dir, name)
-
-
-def publish(spark: SparkSession, gold_dir: str, mart_dir: str) -> None:
-    """Temporary views over the marts for the serving queries."""
-    mart = {name: spark.read.parquet(f"{mart_dir}/{name}") for name in quality.MART_MINIMUM_ROWS}
-    serving.publish_views(
-        spark,
-        {
-            "vw_pa_compliance_scorecard": serving.view_pa_compliance_scorecard(
-                mart["mart_pa_compliance_scorecard"]
-            ),
-            "vw_revenue_at_risk": serving.view_revenue_at_risk(mart["mart_revenue_at_risk"]),
-            "vw_payer_benchmarks": serving.view_payer_benchmarks(
-                mart["mart_payer_benchmarks"], read_table(spark, gold_dir, "payer_performance")
-            ),
-        },
-    )
+        if name == HIGH_RISK:
+            write_clustered(df, mart_dir, name, *marts.urgent_first())
+        else:
+            write_table(df, mart_dir, name)
+
+
+def publish(spark: SparkSession, silver_dir: str, gold_dir: str, mart_dir: str, database: str) -> None:
+    """Register all stored tables in ``database`` and the serving views over them.
+
+    Tables keep their entries and views are replaced, so that what reads them by name goes
+    on reading while a new run is published. A run that shall not be seen by others takes a
+    database of its own.
+    """
+    create_database(spark, database, f"{mart_dir}/_{database}")
+    roots = {silver_dir: silver.PROJECTIONS, gold_dir: schemas.GOLD, mart_dir: quality.MART_MINIMUM_ROWS}
+    for root, names in roots.items():
+        for name in names:
+            register_table(spark, root, name, database)
+    serving.publish_views(spark, database)
 
 
 def check_quality(
@@ -119,34 +140,27 @@ def check_quality(
     minimums: dict[str, int] | None = None,
 ) -> None:
     """Write the report, then raise if a table is too small: the report is kept either way."""
-    minimums = minimums or {**quality.MINIMUM_ROWS, **quality.MART_MINIMUM_ROWS}
-    roots = {**dict.fromkeys(silver.PROJECTIONS, silver_dir), **dict.fromkeys(quality.MART_MINIMUM_ROWS, mart_dir)}
-    tables = {name: spark.read.parquet(f"{roots.get(name, gold_dir)}/{name}") for name in minimums}
-    quality.quality_report(spark, tables, minimums).write.mode("overwrite").parquet(report_dir)
+    report = quality_report(spark, silver_dir, gold_dir, mart_dir, minimums)
+    report.write.mode("overwrite").parquet(report_dir)
     quality.assert_quality(spark.read.parquet(report_dir))
 
 
-def step_counts(
-    claims: DataFrame, explanations: DataFrame, coverages: DataFrame, prior_auth: DataFrame
+def quality_report(
+    spark: SparkSession, silver_dir: str, gold_dir: str, mart_dir: str, minimums: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rows after every step of scoring.
+    """The checked tables, counted from the footers of their files."""
+    minimums = minimums or {**quality.MINIMUM_ROWS, **quality.MART_MINIMUM_ROWS}
+    roots = {**dict.fromkeys(silver.PROJECTIONS, silver_dir), **dict.fromkeys(quality.MART_MINIMUM_ROWS, mart_dir)}
+    counts = count_stored(spark, {name: roots.get(name, gold_dir) for name in minimums})
+    return quality.quality_report(spark, counts, minimums)
+
 
-    Counted by queries of their own: accumulators (``observe``) may count a task
-    twice after an executor is lost.
+def step_counts(spark: SparkSession, silver_dir: str, gold_dir: str) -> DataFrame:
+    """Rows after every step of scoring, from the footers of what the steps have stored.
+
+    Accumulators (``observe``) may count a task twice after an executor is lost; files hold
+    each row once.
     """
-    profile = profiles.patient_profile(claims, explanations, coverages)
-    insured = profiles.with_payer(profile)
-    return quality.row_counts(
-        {
-            "eob_by_patient": profiles.eob_by_patient(explanations),
-            "claims_by_patient": profiles.claims_by_patient(claims),
-            "coverages": coverages,
-            "coverage_current": profiles.coverage_current(coverages),
-            "prior_auth": prior_auth,
-            "patient_profile": profile,
-            "patient_profile_with_payer": insured,
-            "procedure_approval_rates": scoring.procedure_approval_rates(insured),
-            "payer_performance": scoring.payer_performance(insured),
-            "pa_risk_scores": scoring.pa_risk_scores(prior_auth, insured),
-        }
-    )
+    stored = ("eob_by_patient", "claims_by_patient", "coverage_current", PROFILE, *schemas.GOLD)
+    roots = {"coverages": silver_dir, "prior_auth": silver_dir, **dict.fromkeys(stored, gold_dir)}
+    return count_stored(spark, roots, {"patient_profile_with_payer": (PROFILE, "payer_name")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from authledger import schemas
 from authledger.functions.exact import (
@@ -19,7 +19,6 @@ from authledger.functions.exact import (
     total_cents,
 )
 from authledger.functions.tiers import compliance_status, financial_risk_level, recommended_action
-from authledger.operators.skew import ordered
 from authledger.plans.staging import stamp
 
 TARGET_APPROVAL = 0.80
@@ -193,14 +192,18 @@ def mart_payer_benchmarks(rates: DataFrame, as_of: datetime | None = None) -> Da
 
 
 def mart_high_risk_pa_requests(scores: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """HIGH and MEDIUM requests with urgency and advice, most urgent first."""
+    """HIGH and MEDIUM requests with urgency and advice, in no order; ``urgent_first`` orders them."""
     score, charge = F.col("pa_risk_score"), F.col("avg_submitted_charge")
     urgency = half_up(points(score) * F.coalesce(cents(charge), F.lit(0)), 100_000) / 10000
-    flagged = scores.filter(F.col("risk_tier").isin("HIGH", "MEDIUM")).select(
+    return scores.filter(F.col("risk_tier").isin("HIGH", "MEDIUM")).select(
         *schemas.columns("pa_risk_scores"),
         "is_uninsured",
         urgency.alias("priority_score"),
         recommended_action(score, charge).alias("recommended_action"),
         stamp(as_of).alias("mart_updated_at"),
     )
-    return ordered(flagged, F.desc("priority_score"), F.col("service_request_id"))
+
+
+def urgent_first() -> list[Column]:
+    """Order of the high-risk mart: it is stored in ranges of these keys, and sorted when read."""
+    return [F.desc("priority_score"), F.col("service_request_id")]

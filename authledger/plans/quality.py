@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from authledger.functions.tiers import check_status
@@ -34,28 +32,14 @@ class QualityError(Exception):
     """At least one table is below its minimum."""
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count)."""
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def quality_report(spark: SparkSession, tables: dict[str, DataFrame], minimums: dict[str, int]) -> DataFrame:
-    """(table_name, row_count, minimum_rows, status) for every table with a minimum."""
+def quality_report(spark: SparkSession, counts: DataFrame, minimums: dict[str, int]) -> DataFrame:
+    """(table_name, row_count, minimum_rows, status) of every counted table with a minimum."""
     limits = spark.createDataFrame(list(minimums.items()), "table_name string, minimum_rows bigint")
-    checked = {name: df for name, df in tables.items() if name in minimums}
-    return (
-        row_counts(checked)
-        .join(limits, "table_name")
-        .select(
-            "table_name",
-            "row_count",
-            "minimum_rows",
-            check_status(F.col("row_count"), F.col("minimum_rows")).alias("status"),
-        )
+    return counts.join(limits, "table_name").select(
+        "table_name",
+        "row_count",
+        "minimum_rows",
+        check_status(F.col("row_count"), F.col("minimum_rows")).alias("status"),
     )
 
 

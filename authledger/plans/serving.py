@@ -24,10 +24,6 @@ EXPLORER_COLUMNS = [
 ]
 
 
-def _percent(rate: str) -> Column:
-    return points(F.col(rate)) / 100
-
-
 def _millions(money: str) -> Column:
     return double(F.round(total_cents(F.col(money)), 2)) / 1e6
 
@@ -35,43 +31,67 @@ def _millions(money: str) -> Column:
 # --- views ------------------------------------------------------------------
 
 
+def _points(rate: str) -> str:
+    """SQL text of a rate in 1/10000."""
+    return f"CAST(rint({rate} * 10000) AS BIGINT)"
+
+
+# What can be read through a view: its columns as SQL text, so that the same list makes a
+# DataFrame and a view in the catalog. Rates are in percent; ``denial_pct`` of the benchmarks is
+# 100 - ``approval_pct``, the claim-weighted rate, not the patient mean of the performance
+# table (our choice).
+VIEW_COLUMNS = {
+    "vw_pa_compliance_scorecard": [
+        "payer_name", "payer_tier", "unique_patients", "total_claims", "total_approved", "avg_approval_rate",
+        "avg_denial_rate", "avg_payment_amount", "avg_submitted_charge", "total_revenue_at_risk", "total_pa_requests",
+        "high_risk_pa_count", "medium_risk_pa_count", "low_risk_pa_count", "avg_pa_risk_score",
+        "total_pa_revenue_at_risk", "cms_compliance_status",
+    ],
+    "vw_revenue_at_risk": [
+        "ar_payer_name AS payer_name", "ar_claim_type AS claim_type", "total_claims", "avg_submitted_charge",
+        f"{_points('approval_rate')} / 100 AS approval_pct", f"{_points('denial_rate')} / 100 AS denial_pct",
+        "revenue_at_risk", "financial_risk_level",
+    ],
+    "vw_payer_benchmarks": [
+        "approval_rate_rank AS approval_rank", "payer_name",
+        f"{_points('overall_approval_rate')} / 100 AS approval_pct",
+        f"(10000 - {_points('overall_approval_rate')}) / 100 AS denial_pct",
+        "vs_market_approval_rate", "total_claims", "total_revenue_at_risk",
+    ],
+}
+# The stored tables that a view reads; the second one adds a column by payer.
+VIEW_TABLES = {
+    "vw_pa_compliance_scorecard": ("mart_pa_compliance_scorecard", None),
+    "vw_revenue_at_risk": ("mart_revenue_at_risk", None),
+    "vw_payer_benchmarks": ("mart_payer_benchmarks", ("payer_performance", "total_revenue_at_risk")),
+}
+
+
 def view_pa_compliance_scorecard(scorecard: DataFrame) -> DataFrame:
-    return scorecard.drop("mart_updated_at")
+    return scorecard.selectExpr(*VIEW_COLUMNS["vw_pa_compliance_scorecard"])
 
 
 def view_revenue_at_risk(revenue: DataFrame) -> DataFrame:
-    """Rates are in percent here."""
-    return revenue.select(
-        F.col("ar_payer_name").alias("payer_name"),
-        F.col("ar_claim_type").alias("claim_type"),
-        "total_claims",
-        "avg_submitted_charge",
-        _percent("approval_rate").alias("approval_pct"),
-        _percent("denial_rate").alias("denial_pct"),
-        "revenue_at_risk",
-        "financial_risk_level",
-    )
+    return revenue.selectExpr(*VIEW_COLUMNS["vw_revenue_at_risk"])
 
 
 def view_payer_benchmarks(benchmarks: DataFrame, performance: DataFrame) -> DataFrame:
-    """Rates in percent. ``denial_pct`` is 100 - ``approval_pct``, the claim-weighted
-    rate, not the patient mean of the performance table (our choice)."""
     at_risk = performance.select("payer_name", "total_revenue_at_risk")
-    return benchmarks.join(at_risk, "payer_name", "left").select(
-        F.col("approval_rate_rank").alias("approval_rank"),
-        "payer_name",
-        _percent("overall_approval_rate").alias("approval_pct"),
-        ((F.lit(10000) - points(F.col("overall_approval_rate"))) / 100).alias("denial_pct"),
-        "vs_market_approval_rate",
-        "total_claims",
-        "total_revenue_at_risk",
-    )
+    return benchmarks.join(at_risk, "payer_name", "left").selectExpr(*VIEW_COLUMNS["vw_payer_benchmarks"])
+
 
+def publish_views(spark: SparkSession, database: str) -> None:
+    """Create or replace the views in the catalog, over the tables registered in ``database``.
 
-def publish_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
-    """Register views; only the columns selected above can be read through them."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    Replacing is one change of the catalog entry: a reader gets the old or the new view. Views
+    belong to the catalog, not to the session that made them.
+    """
+    for view, (mart, added) in VIEW_TABLES.items():
+        source = f"{database}.{mart}"
+        if added:
+            table, column = added
+            source += f" LEFT JOIN (SELECT payer_name, {column} FROM {database}.{table}) USING (payer_name)"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {', '.join(VIEW_COLUMNS[view])} FROM {source}")
 
 
 # --- compliance scorecard ---------------------------------------------------
@@ -202,7 +222,7 @@ def flagged_requests(scores: DataFrame) -> DataFrame:
 
 def explorer_top_requests(scores: DataFrame, limit: int = EXPLORER_LIMIT) -> DataFrame:
     """The riskiest HIGH and MEDIUM requests; the id breaks ties of the score."""
-    return top_k(flagged_requests(scores), limit, F.desc("pa_risk_score"), F.col("service_request_id"))
+    return top_k(flagged_requests(scores), limit, "pa_risk_score", "service_request_id")
 
 
 def explorer_filter(

@@ -123,6 +123,8 @@ GOLD = {
     ),
 }
 
+DECLARED = {**SILVER, **GOLD}
+
 PARTITION_COLUMNS = {
     "claims": "claim_year",
     "explanations": "eob_year",
@@ -132,7 +134,7 @@ PARTITION_COLUMNS = {
 
 
 def struct(table: str) -> StructType:
-    return StructType.fromDDL({**SILVER, **GOLD}[table])
+    return StructType.fromDDL(DECLARED[table])
 
 
 def columns(table: str) -> list[str]:

@@ -7,16 +7,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the results or the plans depend on; all can be changed on a live session.
+# Settings that results depend on; set on any session that is handed in.
 SETTINGS = {
     # Year columns are taken from timestamps in the session zone.
     "spark.sql.session.timeZone": "UTC",
+}
+# Settings that plans count on, Spark's own defaults; left alone on a session that is handed in.
+PLAN_SETTINGS = {
     # Post-shuffle sizing, skewed sort-merge joins and rebalanced writes.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Lets Spark cut a per-lane top-k before the shuffle for the k used here.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
@@ -37,16 +38,21 @@ def get_session(app_name: str = "authledger", **extra: str) -> SparkSession:
         "spark.python.sql.dataFrameDebugging.enabled",
         "false",
     )
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **PLAN_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder for one run below the shared folder of the cluster."""
+    """A new folder for one run below the shared folder of the cluster.
+
+    A cluster has to name that folder. In local mode, where one machine runs everything, a
+    folder of its own is set for the session when none is.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="authledger-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/authledger/{purpose}-{uuid.uuid4().hex}"

@@ -250,6 +250,14 @@ CHECKED = {
 }
 
 
+VIEWS = {"vw_pa_compliance_scorecard": "score", "vw_revenue_at_risk": "rev", "vw_payer_benchmarks": "bench"}
+GOLD_TABLES = [name for name in CHECKED if name.startswith("mart_")] + [
+    "procedure_approval_rates",
+    "payer_performance",
+    "pa_risk_scores",
+]
+
+
 def counts(tables: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}" for name, source in tables.items()
@@ -371,6 +379,8 @@ def oracles() -> dict[str, str]:
         "explorer_options": f"""{MARTS} SELECT DISTINCT 'payer' AS filter, payer AS choice FROM top
             UNION ALL SELECT DISTINCT 'claim_type', ctype FROM top WHERE ctype IS NOT NULL""",
         "explorer_filter": f"{MARTS} SELECT {EXPLORER_OUT} FROM top WHERE tier = 'HIGH'",
+        "explorer_filter_unknown_payer": f"""{MARTS} SELECT {EXPLORER_OUT} FROM top
+            WHERE payer IS NULL OR payer = 'SECONDARY'""",
         "explorer_filter_all_rows": f"""{MARTS} SELECT {EXPLORER_OUT} FROM pa WHERE tier = 'MEDIUM'
             AND payer IN ('NO_INSURANCE', 'SECONDARY') AND ctype IN ('professional', 'pharmacy')""",
         "explorer_kpis": f"""{MARTS} SELECT count(*) AS requests_shown,
@@ -388,9 +398,17 @@ def oracles() -> dict[str, str]:
         "quality_failures": f"""{REPORT} SELECT table_name,
             table_name || ': ' || row_count || ' < ' || minimum_rows AS message FROM report WHERE status = 'FAIL'""",
         "step_counts": f"{GOLD} {counts(STEPS)}",
-        "roundtrip_patients": f"{DOMAIN} {SILVER['patients']}",
+        **{f"roundtrip_{t}": f"{DOMAIN} {select}" for t, select in SILVER.items() if t != "claims"},
         "roundtrip_claims_year": f"{DOMAIN} {SILVER['claims']}",
-        "catalog_tables": f"""{DOMAIN} SELECT 'patients' AS table_name, {NULL} AS partition_column, count(*) AS row_count
-            FROM customer UNION ALL SELECT 'claims', 'claim_year', count(*) FROM o""",
+        "mart_high_risk_order": f"""{MARTS} SELECT row_number() OVER (ORDER BY priority DESC, id) AS position,
+            id AS service_request_id, {dbl("priority", 10000)} AS priority_score
+            FROM (SELECT *, {half_up("score_p * coalesce(charge_c, 0)", "100000")} AS priority FROM pa
+                  WHERE tier IN ('HIGH', 'MEDIUM'))""",
+        "catalog_tables": f"""{MARTS} SELECT table_name,
+            CASE table_name WHEN 'claims' THEN 'claim_year' WHEN 'explanations' THEN 'eob_year'
+                 WHEN 'prior_auth' THEN 'auth_year' WHEN 'encounters' THEN 'encounter_year' END AS partition_column,
+            row_count FROM ({counts({name: source for name, (source, _) in CHECKED.items()} | VIEWS)})""",
     }
+    for table in GOLD_TABLES:
+        sql[f"roundtrip_{table}"] = sql[table]
     return sql

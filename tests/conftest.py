@@ -34,3 +34,19 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sample():
     return SMALL
+
+
+@pytest.fixture(scope="session")
+def sample_lake(spark, sample):
+    """All tables of the sample as the batch jobs store them."""
+    import __spark_entry__ as registry
+
+    return registry.Model(spark, sample).lake
+
+
+@pytest.fixture
+def shared_lake(sample_lake, monkeypatch):
+    """Queries read the lake that is there instead of storing one each."""
+    import __spark_entry__ as registry
+
+    monkeypatch.setattr(registry.Model, "lake", sample_lake)

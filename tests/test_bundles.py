@@ -3,7 +3,7 @@ import json
 import pytest
 
 from authledger import schemas
-from authledger.operators.silver import PROJECTIONS, silver_from_bundles, silver_table, staged_rows
+from authledger.operators.silver import PROJECTIONS, silver_from_bundles, silver_table, staged_rows, unusable_amounts
 from authledger.sources import bundles
 
 
@@ -185,6 +185,16 @@ def test_amounts(spark, value, expected):
     assert one(spark, "claims", claim).total_submitted_charge == expected
 
 
+def test_amounts_that_are_no_number_are_listed(spark):
+    claims = [{"resourceType": "Claim", "id": str(i), "total": {"value": v}} for i, v in enumerate([1, "Infinity", "NaN", "x", None])]
+    eob = {"resourceType": "ExplanationOfBenefit", "id": "e", "payment": {"amount": {"value": "-Infinity"}}}
+    files = spark.createDataFrame([("f", bundle(*claims, eob))], "file_path string, value string")
+    rows = bundles.resources(files)
+    assert [r.total_submitted_charge for r in silver_table(rows, "claims").collect()] == [1.0, None, None, None, None]
+    listed = {tuple(r) for r in unusable_amounts(rows).collect()}
+    assert listed == {("claims", "1", "Infinity"), ("claims", "2", "NaN"), ("claims", "3", "x"), ("explanations", "e", "-Infinity")}
+
+
 @pytest.mark.parametrize(
     ("created", "year"),
     [

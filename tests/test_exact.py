@@ -2,6 +2,7 @@
 
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -38,9 +39,29 @@ def test_half_up_is_symmetric(spark):
     assert [r[0] for r in df.select(exact.half_up(F.col("v"), 10)).collect()] == [1, 0, -1, 0, 2, 3, -3]
 
 
-def test_junk_amounts_count_as_none(spark):
-    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (2.0,), (-1.0,)], "x double")
-    assert df.agg(exact.double(exact.mean_amount(F.col("x"), 2))).first()[0] == 0.5
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("junk", [float("nan"), float("inf"), float("-inf"), 1e30])
+def test_numbers_that_do_not_fit_fail_in_any_mode(spark, ansi, junk):
+    df = spark.createDataFrame([(10.0,), (None,), (junk,)], "x double")
+    for measure in (exact.mean_amount, exact.mean_cents, exact.mean_rate):
+        with pytest.raises(Exception, match="out of range"):
+            df.agg(measure(F.col("x"), 2)).collect()
+    assert df.filter("x = 10 OR x IS NULL").agg(exact.double(exact.mean_amount(F.col("x"), 2))).first()[0] == 10.0
+
+
+def test_sums_do_not_wrap(spark, ansi):
+    df = spark.range(300).select(F.lit(4.5e16).alias("x"))
+    assert df.agg(exact.double(exact.total_cents(F.col("x")))).first()[0] == 300 * 4.5e16
+    signs = spark.createDataFrame([(-4.5e16,), (0.01,), (4.5e16,), (-0.03,)], "x double")
+    assert signs.agg(exact.double(exact.total_cents(F.col("x")))).first()[0] == -0.02
+    wide = spark.createDataFrame([(9e18,)] * 3, "x double").select(F.col("x").cast("bigint").alias("x"))
+    assert int(wide.agg(exact.whole_sum(F.col("x"))).first()[0]) == 27 * 10**18
 
 
 def test_large_amounts_take_part(spark):

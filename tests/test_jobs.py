@@ -84,12 +84,76 @@ def test_marts_equal_the_queries(spark, sample, roots):
         assert same(stored.drop("mart_updated_at"), registry.queries()[name](spark, sample))
 
 
-def test_published_views(spark, roots):
-    jobs.publish(spark, roots["gold"], roots["marts"])
-    assert spark.table("vw_pa_compliance_scorecard").count() == 6
-    assert spark.table("vw_revenue_at_risk").count() == 18
-    assert "mart_updated_at" not in spark.table("vw_pa_compliance_scorecard").columns
-    assert spark.table("vw_payer_benchmarks").columns[0] == "approval_rank"
+def publish(spark, roots, database):
+    jobs.publish(spark, roots["silver"], roots["gold"], roots["marts"], database)
+
+
+def test_published_views_outlive_the_session(spark, roots):
+    publish(spark, roots, "serving_a")
+    other = spark.newSession()
+    assert other.table("serving_a.vw_pa_compliance_scorecard").count() == 6
+    assert other.table("serving_a.vw_revenue_at_risk").count() == 18
+    assert "mart_updated_at" not in other.table("serving_a.vw_pa_compliance_scorecard").columns
+    assert other.table("serving_a.vw_payer_benchmarks").columns[0] == "approval_rank"
+    # A second run replaces what the names stand for.
+    publish(spark, roots, "serving_a")
+    assert other.table("serving_a.vw_revenue_at_risk").count() == 18
+
+
+def test_catalog_knows_every_table_and_new_years(spark, roots, tmp_path):
+    publish(spark, roots, "serving_b")
+    for name in (*silver.PROJECTIONS, *schemas.GOLD):
+        assert sorted(spark.table(f"serving_b.{name}").columns) == sorted(schemas.columns(name))
+        assert spark.table(f"serving_b.{name}").count() == read_table(spark, folder(roots, name), name).count()
+        assert tables.partition_column(spark, "serving_b", name) == schemas.PARTITION_COLUMNS.get(name)
+    claims = read_table(spark, roots["silver"], "claims")
+    tables.write_table(claims.filter("claim_year < 1995"), str(tmp_path), "claims")
+    tables.create_database(spark, "years", str(tmp_path / "db"))
+    tables.register_table(spark, str(tmp_path), "claims", "years")
+    before = spark.table("years.claims").count()
+    tables.overwrite_years(claims.filter("claim_year = 1996"), str(tmp_path), "claims")
+    tables.register_table(spark, str(tmp_path), "claims", "years")
+    assert spark.table("years.claims").count() == before + claims.filter("claim_year = 1996").count()
+
+
+def folder(roots, name):
+    return roots["silver" if name in silver.PROJECTIONS else "gold"]
+
+
+def failing(df):
+    """The same columns, from a job that dies in one of its tasks."""
+    return df.withColumns({c: F.when(F.rand() < 2, F.raise_error(F.lit("task lost")).cast(df.schema[c].dataType)) for c in df.columns[:1]})
+
+
+@pytest.mark.parametrize("table", ["patients", "claims"])
+def test_failed_job_leaves_the_old_table(spark, roots, tmp_path, table):
+    rows = read_table(spark, roots["silver"], table)
+    root = str(tmp_path)
+    tables.write_table(rows, root, table)
+    for write in [tables.write_table] + [tables.overwrite_years] * (table in schemas.PARTITION_COLUMNS):
+        with pytest.raises(Exception, match="task lost"):
+            write(failing(rows), root, table)
+        assert same(read_table(spark, root, table), rows)
+        assert [p.name for p in tmp_path.iterdir()] == [table]
+    # A table can be replaced by what is computed from it.
+    tables.write_table(read_table(spark, root, table).limit(5), root, table)
+    assert read_table(spark, root, table).count() == 5
+
+
+def test_only_new_years_are_replaced(spark, roots, tmp_path):
+    claims = read_table(spark, roots["silver"], "claims")
+    tables.write_table(claims, str(tmp_path), "claims")
+    changed = claims.filter("claim_year = 1996").withColumn("status", F.lit("changed"))
+    tables.overwrite_years(changed, str(tmp_path), "claims")
+    assert same(read_table(spark, str(tmp_path), "claims"), claims.filter("claim_year <> 1996").unionByName(changed))
+
+
+def test_steps_are_counted_from_their_files(spark, sample, roots):
+    counts = {r.table_name: r.row_count for r in jobs.step_counts(spark, roots["silver"], roots["gold"]).collect()}
+    profile = registry.Model(spark, sample).profile
+    assert counts["patient_profile"] == profile.count()
+    assert counts["patient_profile_with_payer"] == profile.filter("payer_name IS NOT NULL").count()
+    assert counts["coverages"] == counts["prior_auth"] == counts["pa_risk_scores"] == 1500
 
 
 def test_gate_keeps_the_report(spark, roots):
@@ -106,12 +170,3 @@ def test_years_are_folders(spark, roots):
     stored = spark.read.parquet(f"{roots['silver']}/claims").filter("claim_year = 1997")
     assert "claim_year" in stored.columns
     assert "PartitionFilters: [isnotnull(claim_year" in stored._jdf.queryExecution().toString()
-
-
-def test_catalog_tables_can_be_read(spark, roots):
-    tables.create_database(spark, "test_catalog", roots["report"] + "_db")
-    for name in ("patients", "claims"):
-        tables.register_table(spark, roots["silver"], name, "test_catalog")
-        stored = spark.table(f"test_catalog.{name}")
-        assert stored.count() == read_table(spark, roots["silver"], name).count()
-        assert sorted(stored.columns) == sorted(schemas.columns(name))

@@ -118,7 +118,7 @@ def test_ranks_equal_a_window_over_all_payers(spark):
 
 
 def test_high_risk_requests(scores):
-    rows = marts.mart_high_risk_pa_requests(staging.stg_pa_risk_scores(scores), AS_OF).collect()
+    rows = marts.mart_high_risk_pa_requests(staging.stg_pa_risk_scores(scores), AS_OF).orderBy(*marts.urgent_first()).collect()
     assert [(r.service_request_id, r.priority_score, r.recommended_action) for r in rows] == [
         ("1", 1.8, "IMMEDIATE_APPEAL_RECOMMENDED"),
         ("3", 0.005, "MONITOR"),
@@ -169,8 +169,8 @@ def test_treemap_without_revenue_has_no_weighted_rate(spark):
 
 
 def test_quality_gate(spark):
-    tables = {"small": spark.range(9), "enough": spark.range(10), "unchecked": spark.range(1)}
-    report = quality.quality_report(spark, tables, {"small": 10, "enough": 10})
+    counts = spark.createDataFrame([("small", 9), ("enough", 10), ("unchecked", 1)], "table_name string, row_count bigint")
+    report = quality.quality_report(spark, counts, {"small": 10, "enough": 10})
     assert {(r.table_name, r.row_count, r.status) for r in report.collect()} == {("small", 9, "FAIL"), ("enough", 10, "PASS")}
     assert [tuple(r) for r in quality.quality_failures(report).collect()] == [("small", "small: 9 < 10")]
     with pytest.raises(quality.QualityError, match="small: 9 < 10"):

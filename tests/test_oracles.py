@@ -17,7 +17,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", list(registry.oracle_sql()))
-def test_query(spark, connection, sample, name):
+def test_query(spark, connection, sample, shared_lake, name):
     difference, _ = compare.differences(spark, connection, sample, name)
     assert difference == ""
 

@@ -108,6 +108,15 @@ def test_hot_keys_are_spread(spark):
     assert hot == {"hot": 48}
 
 
+def test_no_hot_key_is_missed_or_made_up(spark):
+    """The sketch only names candidates: what is returned is counted."""
+    rows = spark.range(30_000).select(F.concat(F.lit("k"), (F.sqrt("id")).cast("int").cast("string")).alias("key"))
+    sizes = {r.key: r["count"] for r in rows.groupBy("key").count().collect()}
+    found = {r.key: r.salts for r in skew.hot_keys(rows, "key", 200).collect()}
+    assert found == {key: -(-n // 200) for key, n in sizes.items() if n > 200}
+    assert skew.hot_keys(rows.limit(0), "key").count() == 0
+
+
 def test_scores_do_not_depend_on_salting(spark, sample):
     tables = sample_tables.silver(spark, sample)
     insured = profiles.with_payer(
@@ -118,10 +127,15 @@ def test_scores_do_not_depend_on_salting(spark, sample):
     assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
 
 
-def test_top_k_equals_sort_and_limit(spark):
-    rows = skewed(spark).repartition(9)
-    keys = (F.col("key").desc_nulls_last(), F.col("rid"))
-    assert skew.top_k(rows, 100, *keys).collect() == rows.orderBy(*keys).limit(100).collect()
+@pytest.mark.parametrize("k", [0, 1, 7, 50, 100, 1200, 3000, 3999, 4000, 5000])
+def test_top_k_equals_sort_and_limit(spark, k):
+    """Scores with many ties, one of them held by most rows, and rows without a score."""
+    rows = skewed(spark).repartition(9).withColumn(
+        "score", F.when(F.col("key") == "hot", 0.5).when(F.col("key").isNotNull(), F.abs(F.hash("rid")) % 40 / 10.0)
+    ).withColumn("id", F.concat("rid", F.lit("-"), F.monotonically_increasing_id().cast("string")))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    want = rows.orderBy(F.desc_nulls_last("score"), "id").limit(k).collect()
+    assert skew.top_k(rows, k, "score", "id").collect() == want
 
 
 def test_ordered_sorts_totally(spark):
