@@ -8,9 +8,11 @@
    position of the token, which makes blocks of equal (size, position). What is left
    behind a position bounds the overlap, so that one test rules out a whole block and all
    behind it in its size: they are skipped, not read.
-3. Lists of at most ``LEAF`` classes give their remaining pairs, which are confirmed on the
-   full sets. Longer lists are cut into groups (size band, then bounded cells) that
-   carry the full sets. In a group the class least far down its list, which is the one with the
+3. Lists that have few pairs left for each class (``LEAF``) give those pairs. A parity table of
+   each set, whose difference never exceeds that of the sets, rules out most; the others are
+   confirmed on the full sets, first one for each class, then those whose classes are
+   not in one component yet. Dense lists are cut into groups (size band, then bounded cells)
+   that carry the whole texts. In a group the class least far down its list, which is the one with the
    fewest tokens of its own, is compared with all others. A set highly similar to
    it gets its answers from those: |y & z| = |p & z| - |(p - y) & z| + |(y - p) & z|, where
    only the few tokens of the differences are looked up, and only for such z that the
@@ -34,63 +36,73 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
-from authledger.llm.common import map_texts, sent, stored, texts
+from authledger.llm.common import sent, stored, texts
 from authledger.llm.near_dedup import components, shingles
 
 BUCKETS = 1 << 20
-LEAF = 64
-# A group of a long list holds about twice as much at most: classes, and MB of sets.
+# Admitted pairs for each class of a list, on average, up to which the list gives its pairs.
+LEAF = 16
+# Occurrences, besides four times the mean of a bucket, from which its tokens count as common.
+COMMON = 1024
+# Bits of the table of wanted documents.
+SLOTS = 1 << 24
+# A group of a dense list holds about twice as much at most: classes, and MB of sets.
 GROUP_ROWS, GROUP_BYTES = 4096, 16 << 20
 
 
 def marked_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key); the key is null for an empty set."""
+    """(doc_id, n_shingles, set_key, bits, counts); the key is null for an empty set.
 
-    def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
-        sets = [shingles(text, width) for text in batch]
-        return {
-            "doc_id": ids,
-            "n_shingles": [len(s) for s in sets],
-            "set_key": [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-        }
-
-    return map_texts(docs, each, "doc_id bigint, n_shingles bigint, set_key binary")
-
-
-def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
-    """A byte for each bucket of tokens, rising with how often they occur.
-
-    Every task counts all its tokens into one table of fixed size; the tables are
-    added up in a few tasks before the driver gets them.
+    Every task counts all its tokens into one table of ``BUCKETS`` counters, which comes as
+    one more row with ``counts`` set and the rest null.
     """
+    kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_key": pa.binary(), "bits": pa.binary(), "counts": pa.binary()}
+    schema = pa.schema(list(kinds.items()))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
+            sizes, keys, bits = [], [], []
             for text in batch.column("text").to_pylist():
-                if text:
-                    np.add.at(total, _bucket(shingles(text, width)), 1)
-        yield _one(total)
+                items = shingles(text or b"", width)
+                np.add.at(total, _bucket(items), 1)
+                sizes.append(len(items))
+                keys.append(xxh3_128_digest(items.tobytes()) if len(items) else None)
+                bits.append(parity(items) if len(items) else None)
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sizes), pa.binary())], schema=schema)
+        nulls = [pa.nulls(1, kind) for kind in list(kinds.values())[:4]]
+        yield pa.RecordBatch.from_arrays([*nulls, _packed(total)], schema=schema)
+
+    return texts(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, bits binary, counts binary")
+
+
+def _packed(total: np.ndarray) -> pa.Array:
+    return pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary())
+
+
+def token_counts(tables: DataFrame) -> np.ndarray:
+    """The counters of all tasks together; a few tasks add them up before the driver gets them."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for raw in batch.column("counts").to_pylist():
                 total += np.frombuffer(raw, np.uint32)
-        yield _one(total)
-
-    def _one(total: np.ndarray) -> pa.RecordBatch:
-        raw = np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["counts"])
+        yield pa.RecordBatch.from_arrays([_packed(total)], names=["counts"])
 
-    tables = texts(docs).mapInArrow(count, "counts binary").repartition(8).mapInArrow(add, "counts binary")
     total = np.zeros(BUCKETS, np.int64)
-    for row in tables.collect():
+    for row in tables.repartition(8).mapInArrow(add, "counts binary").collect():
         total += np.frombuffer(row.counts, np.uint32)
-    return np.minimum(255, np.round(12 * np.log2(1.0 + total))).astype(np.uint8)
+    return total
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """A byte for each bucket, rising with its count."""
+    return np.minimum(255, np.round(12 * np.log2(1.0 + counts))).astype(np.uint8)
 
 
 def _bucket(items: np.ndarray) -> np.ndarray:
@@ -107,54 +119,68 @@ def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def entries(docs: DataFrame, width: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """(token, key, size, pos) of the leading tokens of every document's set, copies included."""
-    get = sent(docs.sparkSession, levels)
-    names = ["token", "key", "size", "pos"]
+def entries(docs: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """(token, key, size, pos, common) of the leading tokens of the documents' sets.
+
+    Copies go within a task, before any shuffle. ``common`` marks tokens of buckets so full that
+    a list may be too long for one task; those lists never meet in one.
+    """
+    limit = COMMON + 4 * int(counts.mean())
+    get = sent(docs.sparkSession, (levels_of(counts), np.packbits(counts > limit)))
+    schema = pa.schema([("token", pa.int64()), ("key", pa.binary()), ("size", pa.int32()), ("pos", pa.int32()), ("common", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = get()
+        levels, packed = get()
+        full = np.unpackbits(packed).astype(bool)
+        seen: set[bytes] = set()
+        held: list[tuple[np.ndarray, bytes, int]] = []
+        rows = 0
+
+        def flush() -> pa.RecordBatch:
+            lengths = [len(lead) for lead, _, _ in held]
+            token = np.concatenate([lead for lead, _, _ in held])
+            arrays = [
+                pa.array(token.view(np.int64)),
+                pa.array([key for _, key, _ in held], pa.binary()).take(pa.array(np.repeat(np.arange(len(held)), lengths))),
+                pa.array(np.repeat([n for _, _, n in held], lengths).astype(np.int32)),
+                pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])),
+                pa.array(full[_bucket(token)]),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 items = shingles(text or b"", width)
                 if doc_id is None or not len(items):
                     continue
+                key = xxh3_128_digest(items.tobytes())
+                if key in seen:
+                    continue
+                seen.add(key)
                 n = len(items)
-                lead = ranked(items, order)[: n + (-percent * n // 100) + 1]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(lead.view(np.int64)), pa.array([xxh3_128_digest(items.tobytes())] * len(lead), pa.binary()),
-                        pa.array(np.full(len(lead), n, np.int64)), pa.array(np.arange(len(lead), dtype=np.int64)),
-                    ],
-                    names=names,
-                )
-
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in run(batches):
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 8192:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
+                held.append((ranked(items, levels)[: n + (-percent * n // 100) + 1], key, n))
+                rows += len(held[-1][0])
+                if rows >= 16384:
+                    yield flush()
+                    held, rows = [], 0
         if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield flush()
 
-    return texts(docs).mapInArrow(gathered, "token bigint, key binary, size bigint, pos bigint")
+    return texts(docs).mapInArrow(run, "token bigint, key binary, size int, pos int, common boolean")
 
 
-# --- short lists -------------------------------------------------------------
+# --- lists -------------------------------------------------------------
 
 
-def admitted(size: np.ndarray, pos: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a list in the order of (size, pos) that size and position admit.
+def admitted_blocks(size: np.ndarray, pos: np.ndarray, percent: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, start, end) of the blocks of a list, in the order of (size, pos), that may pair up.
 
     For each block of equal (size, position) and each partner size, the admitted blocks are the
     first ones: behind them everything is skipped.
     """
     starts = np.flatnonzero(np.r_[True, (size[1:] != size[:-1]) | (pos[1:] != pos[:-1])])
     ends = np.r_[starts[1:], len(size)]
-    left, right = [], []
+    out = []
     b_size, b_pos = size[starts], pos[starts]
     for k in range(len(starts)):
         own, at = int(b_size[k]), int(b_pos[k])
@@ -168,33 +194,78 @@ def admitted(size: np.ndarray, pos: np.ndarray, percent: int) -> tuple[np.ndarra
                 # Blocks of this size up to the last admitted position.
                 stop = j + int(np.searchsorted(b_pos[j:over], partner - need, "right"))
                 if stop > j:
-                    a = np.arange(starts[k], ends[k])
-                    b = np.arange(starts[j], ends[stop - 1])
-                    x, y = np.repeat(a, len(b)), np.tile(b, len(a))
-                    keep = x < y
-                    left.append(x[keep])
-                    right.append(y[keep])
+                    out.append((int(starts[k]), int(ends[k]), int(starts[j]), int(ends[stop - 1])))
             j = over
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return out
+
+
+def block_pairs(blocks: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The index pairs x < y of these blocks."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi, other_lo, other_hi in blocks:
+        x = np.repeat(np.arange(lo, hi), other_hi - other_lo)
+        y = np.tile(np.arange(other_lo, other_hi), hi - lo)
+        left.append(x[x < y])
+        right.append(y[x < y])
     return np.concatenate(left), np.concatenate(right)
 
 
-def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the admitted pairs of lists that hold ``LEAF`` classes at most."""
+LISTED = "a binary, b binary, token bigint, key binary, size int, pos int"
+
 
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        token, size, pos = (table.column(c).to_numpy() for c in ("token", "size", "pos"))
-        keys = table.column("key").to_pylist()
-        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        a, b = [], []
-        for lo, hi in zip(starts, [*starts[1:], len(token)], strict=True):
-            if hi - lo > 1:
-                x, y = admitted(size[lo:hi], pos[lo:hi], percent)
-                for i, j in zip((x + lo).tolist(), (y + lo).tolist(), strict=True):
-                    a.append(min(keys[i], keys[j]))
-                    b.append(max(keys[i], keys[j]))
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+def read_lists(index: DataFrame, percent: int) -> DataFrame:
+    """One pass over the lists: (a, b) of the admitted pairs of thin ones, the entries of dense ones.
+
+    Entries come sorted by token, size, position and key, copies next to each other. Lists
+    of one class are passed over. Entries of common tokens are dealt out by class, not by
+    token, and pass through without their copies.
+    """
+    schema = pa.schema([
+        ("a", pa.binary()), ("b", pa.binary()), ("token", pa.int64()), ("key", pa.binary()), ("size", pa.int32()), ("pos", pa.int32())
+    ])
+
+    def read(table: pa.Table) -> pa.RecordBatch:
+        token, size, pos, common = (table.column(c).to_numpy() for c in ("token", "size", "pos", "common"))
+        key = table.column("key").to_pylist()
+        edge = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        end = np.r_[edge[1:], len(token)]
+        a: list[bytes] = []
+        b: list[bytes] = []
+        long_rows: list[int] = []
+        for k in np.flatnonzero((end - edge > 1) | common[edge]).tolist():
+            own = list(range(edge[k], end[k]))
+            if len({key[i] for i in own}) < len(own):
+                first = {}
+                for i in own:
+                    first.setdefault(key[i], i)
+                own = list(first.values())
+            if common[own[0]]:
+                long_rows += own
+            elif len(own) > 1:
+                at = np.array(own)
+                blocks = admitted_blocks(size[at], pos[at], percent)
+                if sum((hi - lo) * (top - low) for lo, hi, low, top in blocks) > LEAF * len(own):
+                    # A dense list; who has no admitted partner in it but himself has no part in it.
+                    alone = np.ones(len(own), bool)
+                    for lo, hi, low, top in blocks:
+                        if (lo, hi) != (low, top) or hi - lo > 1:
+                            alone[lo:hi] = alone[low:top] = False
+                    long_rows += at[~alone].tolist()
+                    continue
+                for i, j in zip(*(x.tolist() for x in block_pairs(blocks)), strict=True):
+                    x, y = key[own[i]], key[own[j]]
+                    a.append(min(x, y))
+                    b.append(max(x, y))
+        n, m = len(a), len(long_rows)
+        at = np.array(long_rows, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(a + [None] * m, pa.binary()), pa.array(b + [None] * m, pa.binary()),
+                pa.array([None] * n + token[at].tolist(), pa.int64()), pa.array([None] * n + [key[i] for i in long_rows], pa.binary()),
+                pa.array([None] * n + size[at].tolist(), pa.int32()), pa.array([None] * n + pos[at].tolist(), pa.int32()),
+            ],
+            schema=schema,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -205,15 +276,18 @@ def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
             table = table if rest is None else pa.concat_tables([rest, table])
             token = table.column("token").to_numpy()
             cut = int(np.searchsorted(token, token[-1], "left"))
-            yield pairs(table.slice(0, cut))
+            if cut:
+                yield read(table.slice(0, cut))
             rest = table.slice(cut)
         if rest is not None:
-            yield pairs(rest)
+            yield read(rest)
 
-    return lists.repartition("token").sortWithinPartitions("token", "size", "pos").mapInArrow(run, "a binary, b binary")
+    lane = F.when(F.col("common"), F.xxhash64("key")).otherwise(F.xxhash64("token"))
+    dealt = index.repartition(lane).sortWithinPartitions("token", "size", "pos", "key")
+    return dealt.mapInArrow(run, LISTED)
 
 
-# --- long lists --------------------------------------------------------------
+# --- dense lists --------------------------------------------------------------
 
 
 def _cells(long_lists: DataFrame, percent: int) -> DataFrame:
@@ -227,7 +301,7 @@ def _cells(long_lists: DataFrame, percent: int) -> DataFrame:
     banded = long_lists.withColumn("own_band", band.cast("bigint"))
     spread = banded.withColumn("band", F.explode(F.array("own_band", F.col("own_band") + 1)))
     cells = spread.groupBy("token", "band").agg(
-        F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum(F.col("size") * 8) / GROUP_BYTES)).alias("cells"),
+        F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum(F.col("size").cast("bigint") * 8) / GROUP_BYTES)).alias("cells"),
         F.max(F.col("own_band") == F.col("band")).alias("used"),
     ).filter("used")
     dealt = spread.join(cells, ["token", "band"]).withColumn("cell", F.pmod(F.xxhash64("key"), F.col("cells")))
@@ -285,15 +359,14 @@ def group_links(keys: list[bytes], pos: np.ndarray, sets: list[np.ndarray], perc
     return links
 
 
-def long_links(long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the links found in the long lists."""
-    grouped = _cells(long_lists, percent).join(sets.select("key", "items"), "key")
+def long_links(long_lists: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) of the links found in the dense lists."""
+    grouped = _cells(long_lists, percent).join(members.select("key", "text"), "key")
 
     def each(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("key")
-        found = group_links(
-            group["key"].tolist(), group["pos"].to_numpy(), [np.frombuffer(x, np.uint64) for x in group["items"]], percent
-        )
+        sets = [shingles(text, width) for text in group["text"]]
+        found = group_links(group["key"].tolist(), group["pos"].to_numpy(), sets, percent)
         return pd.DataFrame(found, columns=["a", "b"])
 
     return grouped.groupBy("token", "band", "i", "j").applyInPandas(each, "a binary, b binary")
@@ -302,62 +375,129 @@ def long_links(long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFram
 # --- the join ----------------------------------------------------------------
 
 
-def full_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """(key, items) of the wanted classes, from the whole texts of the documents that stand for them."""
-    chosen = texts(docs).join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+def _marked_slots(ids: DataFrame) -> np.ndarray:
+    """A table of ``SLOTS`` bits with those of the ids' hashes set."""
+    words = (
+        ids.select(_slot().alias("slot")).select(F.shiftright("slot", 6).alias("word"), (F.col("slot") % 64).cast("int").alias("bit"))
+        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
+    )
+    table = np.zeros(SLOTS // 64, np.int64)
+    for r in words:
+        table[r.word] = r.bits
+    return table
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+
+
+def member_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(key, text) of the wanted classes, from the documents that stand for them.
+
+    Texts are shorter than their sets and go through the shuffles in their place. A table of
+    bits, of a fixed size, spares nearly all other documents the shuffle; those that slip
+    through are classes that no pair asks for.
+    """
+    get = sent(docs.sparkSession, _marked_slots(wanted))
+    schema = pa.schema([("key", pa.binary()), ("text", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = get()
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            chosen = batch.filter(pa.array((table[slot >> 6] >> (slot & 63)) & 1 == 1))
+            found = {}
+            for text in chosen.column("text").to_pylist():
+                items = shingles(text or b"", width)
+                if len(items):
+                    found[xxh3_128_digest(items.tobytes())] = text
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], schema=schema)
+
+    made = texts(docs).withColumn("slot", _slot()).mapInArrow(run, "key binary, text binary")
+    return made.groupBy("key").agg(F.first("text").alias("text"))
 
-    def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
-        made = [shingles(text, width) for text in batch]
-        found = {xxh3_128_digest(s.tobytes()): s.tobytes() for s in made if len(s)}
-        blank = [None] * (len(batch) - len(found))
-        return {"key": [*found, *blank], "items": [*found.values(), *blank]}
 
-    made = map_texts(chosen, each, "key binary, items binary").filter("key IS NOT NULL")
-    return made.groupBy("key").agg(F.first("items").alias("items"))
+def parity(items: np.ndarray) -> bytes:
+    """For each of 2048 slots whether an odd number of tokens falls into it."""
+    slots = np.bincount(((items >> np.uint64(20)) & np.uint64(2047)).astype(np.int64), minlength=2048)
+    return np.packbits((slots & 1).astype(np.uint8)).tobytes()
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    left = sets.select(F.col("key").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("items").alias("items_b"))
+def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets may differ in few enough tokens: their parity tables differ in no more slots."""
+    left, right = (
+        classes.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge") for c in "ab"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size_a, size_b = (batch.column(f"size_{c}").to_numpy() for c in "ab")
+            bits_a, bits_b = (
+                np.frombuffer(b"".join(batch.column(f"bits_{c}").to_pylist()), np.uint64).reshape(-1, 32) for c in "ab"
+            )
+            differ = np.bitwise_count(bits_a ^ bits_b).sum(1)
+            keep = differ <= size_a + size_b - 2 * least_overlap(size_a, size_b, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a binary, b binary")
+
+
+def confirmed(pairs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity; the sets come from the whole texts."""
+    # Both sides grow with the table: never a broadcast, whatever the size.
+    sides = [members.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")).hint("merge") for c in "ab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("items_a").to_pylist(), batch.column("items_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                x, y = shingles(x, width), shingles(y, width)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(run, "a binary, b binary")
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def links(docs: DataFrame, marked: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) of set keys: links that connect the classes as all links at the threshold would."""
-    levels = frequency_levels(docs, width)
+    counts = token_counts(marked.filter("counts IS NOT NULL").select("counts"))
     classes, _ = stored(
-        marked.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy(F.col("set_key").alias("key")).agg(F.min("doc_id").alias("doc_id")),
+        marked.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy(F.col("set_key").alias("key")).agg(
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")
+        ),
         "join-classes",
-    )
-    # A class enters its lists once, whatever number of copies it has; tasks drop copies before the shuffle.
-    index, _ = stored(entries(docs, width, percent, levels).dropDuplicates(["token", "key"]), "join-index")
-    counts, _ = stored(index.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "join-counts")
-    short = index.join(counts.filter(F.col("n") <= LEAF), "token", "left_semi")
-    long_lists, _ = stored(index.join(counts.filter(F.col("n") > LEAF), "token", "left_semi"), "join-long")
-    pairs, _ = stored(short_pairs(short, percent).distinct(), "join-pairs")
+    )
+    listed, _ = stored(read_lists(entries(docs, width, percent, counts), percent), "join-lists")
+    long_lists = listed.filter("key IS NOT NULL").select("token", "key", "size", "pos")
+    pairs = listed.filter("a IS NOT NULL").select("a", "b").distinct()
+    open_pairs, _ = stored(likely(pairs, classes, percent), "join-likely")
     wanted = (
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(long_lists.select("key")).distinct()
-        .join(classes, "key")
+        open_pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(long_lists.select("key")).distinct()
+        .join(classes.select("key", "doc_id"), "key")
+    )
+    members, _ = stored(member_texts(docs, wanted, width), "join-members")
+    # One pair for each class first: what it joins need not be compared any more.
+    tree = open_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = confirmed(tree, members, width, percent).unionByName(long_links(long_lists, members, width, percent))
+    first, _ = stored(found.distinct(), "join-first")
+    label = components(first)
+    sides = [label.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab"]
+    rest = (
+        open_pairs.join(tree, ["a", "b"], "left_anti").join(sides[0], "a", "left").join(sides[1], "b", "left")
+        .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
     )
-    sets, _ = stored(full_sets(docs, wanted, width), "join-sets")
-    return confirmed(pairs, sets, percent).unionByName(long_links(long_lists, sets, percent)).distinct()
+    return first.unionByName(confirmed(rest, members, width, percent))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    marked, _ = stored(marked_sets(docs, width), "join-marked")
-    found = links(docs, marked, width, percent)
+    both, _ = stored(marked_sets(docs, width), "join-marked")
+    found = links(docs, both, width, percent)
+    marked = both.filter("counts IS NULL").drop("counts", "bits")
     known = marked.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key").distinct()
     # An id with several sets joins them.
     together = (

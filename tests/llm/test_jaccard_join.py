@@ -73,7 +73,7 @@ def found(spark, rows, **how):
     return sorted((tuple(r) for r in jaccard_join.jaccard_components(docs, **how).collect()), key=repr)
 
 
-@pytest.mark.parametrize(("width", "percent", "leaf", "group"), [(3, 90, 64, 4096), (3, 90, 4, 50), (5, 80, 1, 4096)])
+@pytest.mark.parametrize(("width", "percent", "leaf", "group"), [(3, 90, 16, 4096), (3, 90, 2, 50), (5, 80, 0, 4096)])
 def test_components_match_all_pairs(spark, monkeypatch, width, percent, leaf, group):
     monkeypatch.setattr(jaccard_join, "LEAF", leaf)
     monkeypatch.setattr(jaccard_join, "GROUP_ROWS", group)
@@ -81,6 +81,17 @@ def test_components_match_all_pairs(spark, monkeypatch, width, percent, leaf, gr
     assert found(spark, rows, width=width, percent=percent) == expected(rows, width, percent)
 
 
+def test_lists_of_common_tokens_never_meet_in_one_task(spark, monkeypatch):
+    """With few counters nearly every token counts as common."""
+    monkeypatch.setattr(jaccard_join, "BUCKETS", 8)
+    monkeypatch.setattr(jaccard_join, "COMMON", 0)
+    monkeypatch.setattr(jaccard_join, "levels_of", lambda counts: (counts % 200).astype(np.uint8))
+    counts = jaccard_join.token_counts
+    monkeypatch.setattr(jaccard_join, "token_counts", lambda tables: counts(tables) * np.array([90, 1, 90, 1, 90, 90, 1, 90]))
+    rows = corpus(7)
+    assert found(spark, rows, width=3, percent=90) == expected(rows, 3, 90)
+
+
 def test_empty_table_and_tables_without_links(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, None), (2, ""), (None, "a b c")]) == [(1, 0, 1), (2, 0, 2), (None, 1, None)]
@@ -93,7 +104,7 @@ def test_skipped_blocks_hold_no_admissible_pair():
         pos = (rng.random(40) * (size - (-(-90 * size // 100)) + 1)).astype(int)
         order = np.lexsort((pos, size))
         size, pos = size[order], pos[order]
-        x, y = jaccard_join.admitted(size, pos, 90)
+        x, y = jaccard_join.block_pairs(jaccard_join.admitted_blocks(size, pos, 90))
         want = {
             (i, j) for i in range(40) for j in range(i + 1, 40)
             if min(size[i] - pos[i], size[j] - pos[j]) >= jaccard_join.least_overlap(size[i], size[j], 90)
