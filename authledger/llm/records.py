@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from zlib import crc32
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from authledger.llm.common import texts
+from authledger.llm.common import sent, texts
 from authledger.session import scratch_dir
 
 END = 1
@@ -59,10 +60,6 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
-def pack(ids: list[int] | np.ndarray, width: int) -> bytes:
-    return bytes([width]) + np.asarray(ids, "<u2" if width == 2 else "<u4").tobytes()
-
-
 def unpack(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, "<u2" if payload[0] == 2 else "<u4", offset=1).astype("<u4")
 
@@ -72,41 +69,127 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
     return (fs.LocalFileSystem(), path.removeprefix("file://")) if path.startswith(("/", "file:///")) else fs.FileSystem.from_uri(path)
 
 
+def _only_letters(word: bytes) -> bool:
+    """Whether a word is letters only, also as the tokenizer sees it: composed and in lower case."""
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode(errors="replace")
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
+class Encoder:
+    """Ids of whole texts as bytes, word by word from a memory of words.
+
+    The tokenizer drops white space before it looks for tokens, so that none spans any and a
+    text's ids are those of its words in a row. Words that are not remembered go to the
+    library many at a time, with a special token between them; words that may hold a special
+    token themselves go alone. Letters with marks behind them are two tokens' worth, whatever the
+    case of the letters. The memory is emptied when it is full, which costs time only.
+    """
+
+    KEPT, AT_ONCE = 1_000_000, 2048
+    MARKS = b".,!?;:"
+
+    def __init__(self, tokenizer_file: str):
+        self.file, self.tokenizer, self.known = tokenizer_file, None, {}
+
+    def __getstate__(self) -> dict:
+        return {"file": self.file, "tokenizer": None, "known": {}}
+
+    def load(self) -> None:
+        if self.tokenizer is not None:
+            return
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(self.file)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "<u2" if self.width == 2 else "<u4"
+        special = sorted((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.between = special[0] if special else None
+        self.starts = {name[:2].encode() for name, _ in special}
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Remember these words: those of letters by their lower case and their marks."""
+        known, parts, need = self.known, [], set()
+        for w in words:
+            letters = w.rstrip(self.MARKS).lower()
+            marks = w[len(letters) :]
+            if _only_letters(letters):
+                parts.append((w, letters, marks))
+                need.update(p for p in (letters, marks) if p not in known)
+            else:
+                need.add(w)
+        need.discard(b"")
+        self._ask(list(need))
+        for w, letters, marks in parts:
+            known[w] = known[letters] + (known[marks] if marks else b"")
+
+    def _ask(self, words: list[bytes]) -> None:
+        alone = [w for w in words if self.between is None or any(s in w for s in self.starts)]
+        for w, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in alone], add_special_tokens=False), strict=True):
+            self.known[w] = np.array(found.ids, self.kind).tobytes()
+        if self.between is None:
+            return
+        name, mark = self.between
+        plain = list(set(words).difference(alone))
+        for start in range(0, len(plain), self.AT_ONCE):
+            part = plain[start : start + self.AT_ONCE]
+            joined = name.join(w.decode(errors="replace") for w in part)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
+            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+            if len(ends) != len(part):
+                raise ValueError("words and their ids do not match")
+            first = 0
+            for w, end in zip(part, ends, strict=True):
+                self.known[w] = ids[first:end].tobytes()
+                first = end + 1
+
+    def ids(self, text: bytes) -> bytes:
+        # ASCII white space only: what else counts as space is the tokenizer's affair.
+        words = text.split()
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            if len(self.known) > self.KEPT:
+                self.known.clear()
+            self._learn({w for w in words if w not in self.known})
+            parts = map(self.known.__getitem__, words)
+        return b"".join(parts)
+
+
 def write_records(docs: DataFrame, tokenizer_file: str, folder: str) -> DataFrame:
     """Write all records and their index below ``folder``; returns the index."""
     spark = docs.sparkSession
+    shared = sent(spark, Encoder(tokenizer_file))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         part = TaskContext.get().partitionId()
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # The memory of words lasts as long as the worker.
+        encoder = shared()
+        encoder.load()
+        width, end = encoder.width, np.array([END], encoder.kind).tobytes()
         system, root = place(folder)
         name = f"part-{part:05d}-{uuid.uuid4().hex}.records"
         system.create_dir(f"{root}/records", recursive=True)
         offset = before = record = 0
+        kinds = [pa.int64(), pa.int32(), pa.string(), *[pa.int64()] * 5]
+        names = [f.split()[0] for f in INDEX.split(", ")]
         with system.open_output_stream(f"{root}/records/{name}") as out:
             for batch in batches:
                 for start in range(0, batch.num_rows, 64):
                     piece = batch.slice(start, 64)
-                    encoded = tokenizer.encode_batch(
-                        [(t or b"").decode(errors="replace") for t in piece.column("text").to_pylist()],
-                        add_special_tokens=False,
-                    )
                     rows = []
-                    for doc_id, one in zip(piece.column("doc_id").to_pylist(), encoded, strict=True):
-                        data = frame(pack([*one.ids, END], width))
+                    for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
+                        ids = encoder.ids(text or b"") + end
+                        data = frame(bytes([width]) + ids)
                         out.write(data)
-                        n = len(one.ids) + 1
+                        n = len(ids) // width
                         rows.append((doc_id, part, name, record, offset, len(data), before, n))
                         record, offset, before = record + 1, offset + len(data), before + n
-                    kinds = [pa.int64(), pa.int32(), pa.string(), *[pa.int64()] * 5]
-                    names = [f.split()[0] for f in INDEX.split(", ")]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
                     )
@@ -119,11 +202,10 @@ def write_records(docs: DataFrame, tokenizer_file: str, folder: str) -> DataFram
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files, whatever the order of the index rows."""
     files = index.groupBy("part", "file").agg(F.sum("n_tokens").alias("tokens"))
-    # One row per file.
     offsets = files.select(
         "file", (F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")).alias("file_start")
     )
-    rows = index.join(F.broadcast(offsets), "file").select(
+    rows = index.join(offsets, "file").select(
         "doc_id", "file", "offset", "length", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens"
     )
 
