@@ -37,8 +37,9 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 from authledger.llm.common import map_texts, stored, texts
 
 TREES, LEVELS, LEAF, SKETCH, STAR_FROM = 16, 24, 16, 96, 4
-# Levels that are walked in one pass; deeper passes have fewer rows.
-ROUNDS = (range(0, 1), range(1, 4), range(4, 10), range(10, LEVELS))
+# Levels that are walked in one pass. A pass writes all its levels, also those below nodes that
+# have become small, so that few levels a pass keep the rows of a large group few.
+ROUNDS = (range(0, 1), range(1, 4), range(4, 6), range(6, 9), range(9, 12), range(12, 16), range(16, LEVELS))
 # Distances from the threshold, in similarity, below and above which sketches decide.
 BELOW, ABOVE = 0.13, 0.10
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -285,6 +286,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that hold the smallest id of their component, with all their columns."""
-    gone = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone, _ = stored(gone, "near-gone")
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone = near_duplicates(docs, width, percent).filter("NOT kept").select("doc_id").distinct()
+    # Only the id is compared, so that no other column can clash.
+    return docs.join(stored(gone, "near-gone")[0], "doc_id", "left_anti").select(*docs.columns)
