@@ -50,7 +50,16 @@ COMMON = 1024
 # Bits of the table of wanted documents.
 SLOTS = 1 << 24
 # A group of a dense list holds about twice as much at most: classes, and MB of sets.
-GROUP_ROWS, GROUP_BYTES = 4096, 16 << 20
+GROUP_ROWS, GROUP_BYTES = 2048, 4 << 20
+# Rows that are taken out of an Arrow batch at once.
+AT_ONCE = 256
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that long texts do not stand in memory twice."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(start, AT_ONCE)
 
 
 def marked_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -64,7 +73,7 @@ def marked_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, keys, bits = [], [], []
             for text in batch.column("text").to_pylist():
                 items = shingles(text or b"", width)
@@ -148,7 +157,7 @@ def entries(docs: DataFrame, width: int, percent: int, counts: np.ndarray) -> Da
             ]
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-        for batch in batches:
+        for batch in _slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 items = shingles(text or b"", width)
                 if doc_id is None or not len(items):
@@ -403,7 +412,7 @@ def member_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = get()
-        for batch in batches:
+        for batch in _slices(batches):
             slot = batch.column("slot").to_numpy()
             chosen = batch.filter(pa.array((table[slot >> 6] >> (slot & 63)) & 1 == 1))
             found = {}
@@ -450,7 +459,7 @@ def confirmed(pairs: DataFrame, members: DataFrame, width: int, percent: int) ->
     sides = [members.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")).hint("merge") for c in "ab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             keep = []
             for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
                 x, y = shingles(x, width), shingles(y, width)
