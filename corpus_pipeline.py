@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from authledger.llm import decontamination, mixing, near_dedup, sharding, toxicity
-from authledger.llm.common import stored, table
+from authledger.llm.common import remove, stored, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, written = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if read:
+            # What this stage has read is not needed once its own rows are there.
+            remove(spark, read)
+        read = written
     return docs
