@@ -317,3 +317,28 @@ def test_odd_words_encode_like_the_library():
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
         ids = np.frombuffer(encoder.ids(text.encode()), encoder.kind).tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_pipeline_stages_decide_what_goes_on(spark, sample):
+    """Each stage against its own input: nothing but what it decides is lost, and copies go."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sample}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id for r in docs.select("doc_id").collect()}
+        made = spark.createDataFrame(stage(spark, docs, sample).toPandas())
+        after = {r.doc_id for r in made.select("doc_id").collect()}
+        assert after <= before
+        if name == "sharding":
+            assert made.count() == docs.count()
+            break
+        assert made.columns == columns
+        if name == "near_dedup":
+            assert after == {r.doc_id for r in near_dedup.near_duplicates(docs, 5, 80).filter("kept").collect()}
+        if name == "decontamination":
+            hit = decontamination.contamination(docs, spark.read.parquet(f"{sample}/benchmark.parquet")).filter("contaminated")
+            assert before - after == {r.doc_id for r in hit.collect()}
+        docs = made
+    whole = corpus_pipeline.run(spark, sample)
+    assert whole.count() == made.count() and {r.doc_id for r in whole.collect()} == after
