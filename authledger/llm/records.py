@@ -84,17 +84,18 @@ class Encoder:
     text's ids are those of its words in a row. Words that are not remembered go to the
     library many at a time, with a special token between them; words that may hold a special
     token themselves go alone. Letters with marks behind them are two tokens' worth, whatever the
-    case of the letters. The memory is emptied when it is full, which costs time only.
+    case of the letters. When the memory is full, what has not been met since it was full the last
+    time is forgotten, which costs time only.
     """
 
-    KEPT, AT_ONCE = 1_000_000, 2048
+    KEPT, AT_ONCE = 700_000, 2048
     MARKS = b".,!?;:"
 
     def __init__(self, tokenizer_file: str):
-        self.file, self.tokenizer, self.known = tokenizer_file, None, {}
+        self.file, self.tokenizer, self.known, self.older = tokenizer_file, None, {}, {}
 
     def __getstate__(self) -> dict:
-        return {"file": self.file, "tokenizer": None, "known": {}}
+        return {"file": self.file, "tokenizer": None, "known": {}, "older": {}}
 
     def load(self) -> None:
         if self.tokenizer is not None:
@@ -113,13 +114,22 @@ class Encoder:
 
     def _learn(self, words: set[bytes]) -> None:
         """Remember these words: those of letters by their lower case and their marks."""
-        known, parts, need = self.known, [], set()
+        known, older, parts, need = self.known, self.older, [], set()
         for w in words:
+            before = older.get(w)
+            if before is not None:
+                known[w] = before
+                continue
             letters = w.rstrip(self.MARKS).lower()
             marks = w[len(letters) :]
             if _only_letters(letters):
                 parts.append((w, letters, marks))
-                need.update(p for p in (letters, marks) if p not in known)
+                for p in (letters, marks):
+                    if p not in known:
+                        if p in older:
+                            known[p] = older[p]
+                        else:
+                            need.add(p)
             else:
                 need.add(w)
         need.discard(b"")
@@ -153,7 +163,7 @@ class Encoder:
         parts = list(map(self.known.get, words))
         if None in parts:
             if len(self.known) > self.KEPT:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self._learn({w for w in words if w not in self.known})
             parts = map(self.known.__getitem__, words)
         return b"".join(parts)
