@@ -364,8 +364,8 @@ def resource_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(value): bundles of up to 128 resources, all kinds mixed.
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value): bundles of up to 128 resources, all kinds mixed.
 
     The rows are dealt out evenly, and the page is taken from the row number inside the
     task, so that no value in the data can make a page larger.
@@ -374,7 +374,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.shiftright(F.monotonically_increasing_id(), 7).alias("page")
     filled = dealt.select(page, "resource").groupBy("page").agg(F.collect_list("resource").alias("resources"))
     name = F.concat(F.lit("page-"), F.col("page").cast("string"))
-    return filled.select(document(name, F.col("resources")).alias("value"))
+    return filled.select(name.alias("name"), document(name, F.col("resources")).alias("value"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return named_pages(spark, sf_dir).select("value")
 
 
 def write_bundle_files(files: DataFrame, path: str) -> None:

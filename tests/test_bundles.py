@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from authledger import schemas
 from authledger.operators.silver import PROJECTIONS, silver_from_bundles, silver_table, staged_rows, unusable_amounts
@@ -243,3 +244,38 @@ def test_parts_of_another_shape_are_null(spark):
         "resourceType": "Claim", "id": "c", "status": "active", "diagnosis": "none", "type": "t", "total": 5})
     assert (claim.primary_diagnosis_code, claim.claim_type, claim.total_submitted_charge) == (None, None, None)
     assert claim.status == "active"
+
+
+def test_packed_bundles_are_read_like_files(spark, tmp_path):
+    path = str(tmp_path / "packed")
+    written = {"a": GOOD, "b": "", "c": '{"entry":\n [', "d": GOOD + "\n"}
+    bundles.pack_bundles(spark.createDataFrame([*list(written.items())[:3]], "name string, value string"), path)
+    bundles.pack_bundles(spark.createDataFrame([("d", written["d"])], "name string, value string"), path)
+    files = bundles.read_bundles(spark, path, packed=True)
+    assert {r.file_path: r.value for r in files.collect()} == {k: v for k, v in written.items() if v}
+    inventory = bundles.bundle_inventory(spark, path, packed=True)
+    assert {r.file_path: r.length for r in inventory.collect()} == {k: len(v) for k, v in written.items()}
+    assert tuple(bundles.arrival_report(inventory).first()) == (4, sum(map(len, written.values())), 1)
+    assert [r.file_path for r in bundles.empty_files(inventory).collect()] == ["b"]
+    assert [r.file_path for r in bundles.quarantine(files).collect()] == ["c"]
+
+
+def test_packed_files_do_not_grow_with_the_number_of_bundles(spark, tmp_path):
+    def data_files(n):
+        path = tmp_path / f"packed-{n}"
+        names = spark.range(0, n, 1, 2).select(F.col("id").cast("string").alias("name"), F.lit(GOOD).alias("value"))
+        bundles.pack_bundles(names, str(path))
+        assert bundles.read_bundles(spark, str(path), packed=True).count() == n
+        return len(list(path.glob("*.parquet")))
+
+    assert data_files(20) == data_files(2000) == 2
+
+
+def test_registered_pages_are_packed(spark, sample):
+    import __spark_entry__ as registry
+
+    m = registry.Model(spark, sample)
+    pages = m.files.count()
+    assert len(m.files.inputFiles()) < pages / 4
+    names = {r.file_path.split("-")[0] for r in m.files.select("file_path").collect()}
+    assert names == {"page"}
