@@ -351,6 +351,34 @@ def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value): claim and explanation of benefits, the latter with two contained resources."""
+    key = tagged("O", "o_orderkey")
+    return _orders_with_segment(spark, sf_dir).select(
+        key.alias("name"), document(key, F.array(_claim_resource(), _explanation_resource())).alias("value")
+    )
+
+
+def encounter_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("encounter_id")
+    return encounters(spark, sf_dir).select(
+        key.alias("name"), document(key, F.array(_encounter_resource())).alias("value")
+    )
+
+
+def condition_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("condition_id")
+    return conditions(spark, sf_dir).select(
+        key.alias("name"), document(key, F.array(_condition_resource())).alias("value")
+    )
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, value) of all bundles, one for each patient, order, encounter and condition."""
+    parts = [build(spark, sf_dir) for build in (patient_bundles, order_bundles, encounter_bundles, condition_bundles)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def resource_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(resource) JSON text of all patients, claims, explanations (with two contained
     resources each), encounters and conditions."""

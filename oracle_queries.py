@@ -228,6 +228,12 @@ TOP_LEVEL = """SELECT 'Patient' AS resource_type, 'P' || c_custkey AS resource_i
   UNION ALL SELECT 'Condition', id FROM cond"""
 CONTAINED = """SELECT 'Coverage' AS resource_type, 'E' || k || '_coverage' AS resource_id FROM o
   UNION ALL SELECT 'ServiceRequest', 'E' || k || '_referral' FROM o"""
+# The same with the file of each resource.
+FILED_TOP_LEVEL = """SELECT 'P' || c_custkey AS file_path, 'Patient' AS resource_type, 'P' || c_custkey AS resource_id FROM customer
+  UNION ALL SELECT 'O' || k, 'Claim', 'C' || k FROM o
+  UNION ALL SELECT 'O' || k, 'ExplanationOfBenefit', 'E' || k FROM o
+  UNION ALL SELECT id, 'Encounter', id FROM ev
+  UNION ALL SELECT id, 'Condition', id FROM cond"""
 
 # --- quality ----------------------------------------------------------------
 
@@ -326,7 +332,7 @@ def oracles() -> dict[str, str]:
             FROM ({TOP_LEVEL}) GROUP BY resource_type""",
         "bundle_inventory": f"""{DOMAIN} SELECT true AS arrived, CAST(4 AS BIGINT) AS empty_files, true AS all_scanned,
             true AS all_bytes, count(*) AS resources FROM ({TOP_LEVEL})""",
-        "bundle_entries": f"{DOMAIN} {TOP_LEVEL}",
+        "bundle_entries": f"{DOMAIN} {FILED_TOP_LEVEL}",
         "bundle_contained": f"{DOMAIN} {CONTAINED}",
         "bundle_quarantine": """SELECT 'P' || c_custkey AS document FROM customer WHERE c_custkey % 25 = 0
             UNION ALL SELECT unnest(['empty-patient', 'empty-order', 'empty-encounter', 'empty-condition'])""",

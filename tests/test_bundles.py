@@ -279,3 +279,12 @@ def test_registered_pages_are_packed(spark, sample):
     assert len(m.files.inputFiles()) < pages / 4
     names = {r.file_path.split("-")[0] for r in m.files.select("file_path").collect()}
     assert names == {"page"}
+
+
+def test_entries_name_their_file(spark, sample):
+    import __spark_entry__ as registry
+
+    rows = registry.queries()["bundle_entries"](spark, sample)
+    assert rows.columns == ["file_path", "resource_type", "resource_id"]
+    found = {(r.file_path[0], r.resource_type) for r in rows.collect() if r.file_path[0] in "PO"}
+    assert found == {("P", "Patient"), ("O", "Claim"), ("O", "ExplanationOfBenefit")}
