@@ -234,6 +234,8 @@ FILED_TOP_LEVEL = """SELECT 'P' || c_custkey AS file_path, 'Patient' AS resource
   UNION ALL SELECT 'O' || k, 'ExplanationOfBenefit', 'E' || k FROM o
   UNION ALL SELECT id, 'Encounter', id FROM ev
   UNION ALL SELECT id, 'Condition', id FROM cond"""
+FILED_CONTAINED = """SELECT 'O' || k AS file_path, 'Coverage' AS resource_type, 'E' || k || '_coverage' AS resource_id FROM o
+  UNION ALL SELECT 'O' || k, 'ServiceRequest', 'E' || k || '_referral' FROM o"""
 
 # --- quality ----------------------------------------------------------------
 
@@ -333,7 +335,7 @@ def oracles() -> dict[str, str]:
         "bundle_inventory": f"""{DOMAIN} SELECT true AS arrived, CAST(4 AS BIGINT) AS empty_files, true AS all_scanned,
             true AS all_bytes, count(*) AS resources FROM ({TOP_LEVEL})""",
         "bundle_entries": f"{DOMAIN} {FILED_TOP_LEVEL}",
-        "bundle_contained": f"{DOMAIN} {CONTAINED}",
+        "bundle_contained": f"{DOMAIN} {FILED_CONTAINED}",
         "bundle_quarantine": """SELECT 'P' || c_custkey AS document FROM customer WHERE c_custkey % 25 = 0
             UNION ALL SELECT unnest(['empty-patient', 'empty-order', 'empty-encounter', 'empty-condition'])""",
         "resource_type_distribution": f"""{DOMAIN} SELECT resource_type, count(*) AS count

@@ -288,3 +288,11 @@ def test_entries_name_their_file(spark, sample):
     assert rows.columns == ["file_path", "resource_type", "resource_id"]
     found = {(r.file_path[0], r.resource_type) for r in rows.collect() if r.file_path[0] in "PO"}
     assert found == {("P", "Patient"), ("O", "Claim"), ("O", "ExplanationOfBenefit")}
+
+
+def test_contained_name_their_file(spark, sample):
+    import __spark_entry__ as registry
+
+    rows = registry.queries()["bundle_contained"](spark, sample)
+    assert rows.columns == ["file_path", "resource_type", "resource_id"]
+    assert {(r.file_path[0], r.resource_type) for r in rows.collect()} == {("O", "Coverage"), ("O", "ServiceRequest")}
