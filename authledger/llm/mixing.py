@@ -88,6 +88,15 @@ def domain_marks(rows: DataFrame) -> dict[int, list[str]]:
     return out
 
 
+def candidates(marks: dict[int, list[str]]) -> Column:
+    """The words that may have a marking beginning of any domain: each is looked up once, by the
+    shortest beginning, and only those found are compared with the marks of every domain and length."""
+    shortest = sorted({key[: LENGTHS[0]] for keys in marks.values() for key in keys})
+    if not shortest:
+        return F.array().cast("array<string>")
+    return F.filter("words", lambda w: F.substring(w, 1, LENGTHS[0]).isin(shortest))
+
+
 def measures(marks: dict[int, list[str]]) -> list[Column]:
     """The measures of one whole text, and its tokens (runs between white space)."""
     size = F.length("body") + F.lit(1)
@@ -106,7 +115,7 @@ def measures(marks: dict[int, list[str]]) -> list[Column]:
 
         if not keys:
             return F.lit(0.0)
-        return F.least(F.size(F.filter("words", hit)) * 100.0 / F.sqrt(n + F.lit(16.0)), F.lit(50.0))
+        return F.least(F.size(F.filter("candidates", hit)) * 100.0 / F.sqrt(n + F.lit(16.0)), F.lit(50.0))
 
     return [
         n.cast("long").alias("tokens"),
@@ -138,7 +147,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_DOMA
     # At most ``sample`` ids of each domain.
     words = _words(docs)
     marks = domain_marks(stored(words.join(F.broadcast(chosen), "doc_id").select("domain", "words"), "mixing-words")[0])
-    base, _ = stored(words.select("doc_id", "u", *measures(marks)), "mixing-measures")
+    found = words.withColumn("candidates", candidates(marks))
+    base, _ = stored(found.select("doc_id", "u", *measures(marks)), "mixing-measures")
     rows, _ = stored(base.join(F.broadcast(chosen), "doc_id"), "mixing-sample")
     shares = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     found = {r.domain: r["count"] for r in rows.groupBy("domain").count().collect()}
