@@ -158,15 +158,35 @@ class Encoder:
                 first = end + 1
 
     def ids(self, text: bytes) -> bytes:
+        return self.ids_of([text])[0]
+
+    def ids_of(self, batch: list[bytes]) -> list[bytes]:
+        """Ids of some texts; the words that are new in any of them are learnt together."""
         # ASCII white space only: what else counts as space is the tokenizer's affair.
-        words = text.split()
-        parts = list(map(self.known.get, words))
-        if None in parts:
+        words = [text.split() for text in batch]
+        new = set().union(*words).difference(self.known)
+        if new:
             if len(self.known) > self.KEPT:
                 self.known, self.older = {}, self.known
-            self._learn({w for w in words if w not in self.known})
-            parts = map(self.known.__getitem__, words)
-        return b"".join(parts)
+                new = set().union(*words)
+            self._learn(new)
+        known = self.known.__getitem__
+        return [b"".join(map(known, w)) for w in words]
+
+
+def pieces(batch: pa.RecordBatch, rows: int = 64, size: int = 1 << 20) -> Iterator[list[tuple[int | None, bytes]]]:
+    """(doc_id, text) in runs of at most ``rows`` rows; a run ends with the text that brings it to ``size`` bytes."""
+    run, held = [], 0
+    for start in range(0, batch.num_rows, rows):
+        part = batch.slice(start, rows)
+        for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+            run.append((doc_id, text or b""))
+            held += len(text or b"")
+            if len(run) == rows or held >= size:
+                yield run
+                run, held = [], 0
+    if run:
+        yield run
 
 
 def write_records(docs: DataFrame, tokenizer_file: str, folder: str) -> DataFrame:
@@ -190,11 +210,11 @@ def write_records(docs: DataFrame, tokenizer_file: str, folder: str) -> DataFram
         names = [f.split()[0] for f in INDEX.split(", ")]
         with system.open_output_stream(f"{root}/records/{name}") as out:
             for batch in batches:
-                for start in range(0, batch.num_rows, 64):
-                    piece = batch.slice(start, 64)
+                for piece in pieces(batch):
                     rows = []
-                    for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                        ids = encoder.ids(text or b"") + end
+                    encoded = encoder.ids_of([text for _, text in piece])
+                    for (doc_id, _), found in zip(piece, encoded, strict=True):
+                        ids = found + end
                         data = frame(bytes([width]) + ids)
                         out.write(data)
                         n = len(ids) // width

@@ -1,6 +1,9 @@
 """Work that the text operators do once instead of once for each word, text or domain."""
 
-from authledger.llm import mixing
+import pyarrow as pa
+
+from authledger.llm import mixing, records
+from authledger.llm.queries import tokenizer
 
 
 def test_words_are_looked_up_once_for_all_marks(spark):
@@ -22,3 +25,28 @@ def test_no_marks_leave_no_candidates(spark):
     words = mixing._words(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
     assert words.select(mixing.candidates({}).alias("c")).first().c == []
     assert words.withColumn("candidates", mixing.candidates({1: []})).select(*mixing.measures({1: []})).first().marks1 == 0
+
+
+def test_new_words_of_a_piece_are_learnt_together(monkeypatch):
+    file = tokenizer("word_bpe_49k.json")
+    single, together = records.Encoder(file), records.Encoder(file)
+    single.load()
+    together.load()
+    asked, learn = [], records.Encoder._learn
+    monkeypatch.setattr(records.Encoder, "_learn", lambda self, words: (asked.append(len(words)), learn(self, words))[1])
+    batch = [f"word{i} Shared, {i} été! <|endoftext|> ".encode() + b"x" * i for i in range(50)] + [b"", b"\xff bad"]
+    got = together.ids_of(batch)
+    assert len(asked) == 1
+    assert got == [single.ids(text) for text in batch]
+    assert together.ids_of(batch) == got and len(asked) == 1 + 51
+    # With the memory full, what is forgotten is learnt again.
+    monkeypatch.setattr(records.Encoder, "KEPT", 10)
+    assert together.ids_of([*batch, b"unseen"])[:-1] == got
+
+
+def test_pieces_are_bounded_by_rows_and_bytes():
+    texts = [b"x" * 10, None, b"y" * 300, b"", *[b"z"] * 70]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(74)), "text": pa.array(texts, pa.binary())})
+    found = list(records.pieces(batch, 64, 200))
+    assert [row for piece in found for row in piece] == [(i, t or b"") for i, t in enumerate(texts)]
+    assert [len(piece) for piece in found] == [3, 64, 7]
