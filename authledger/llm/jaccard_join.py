@@ -31,6 +31,7 @@ component and link with nothing; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,9 @@ from authledger.llm.common import sent, stored, texts
 from authledger.llm.near_dedup import components, shingles
 
 BUCKETS = 1 << 20
+# Parts of the table of counters, each added up by one task.
+SLICES = 64
+TABLES = "slice int, counts binary"
 # Admitted pairs for each class of a list, on average, up to which the list gives its pairs.
 LEAF = 16
 # Occurrences, besides four times the mean of a bucket, from which its tokens count as common.
@@ -63,12 +67,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def marked_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bits, counts); the key is null for an empty set.
+    """(doc_id, n_shingles, set_key, bits, slice, counts); the key is null for an empty set.
 
-    Every task counts all its tokens into one table of ``BUCKETS`` counters, which comes as
-    one more row with ``counts`` set and the rest null.
+    Every task counts all its tokens into one table of ``BUCKETS`` counters, which comes in
+    ``SLICES`` more rows at most, with ``slice`` and ``counts`` set and the rest null.
     """
-    kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_key": pa.binary(), "bits": pa.binary(), "counts": pa.binary()}
+    kinds = {
+        "doc_id": pa.int64(), "n_shingles": pa.int64(), "set_key": pa.binary(), "bits": pa.binary(), "slice": pa.int32(), "counts": pa.binary()
+    }
     schema = pa.schema(list(kinds.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,30 +88,35 @@ def marked_sets(docs: DataFrame, width: int) -> DataFrame:
                 keys.append(xxh3_128_digest(items.tobytes()) if len(items) else None)
                 bits.append(parity(items) if len(items) else None)
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sizes), pa.binary())], schema=schema)
-        nulls = [pa.nulls(1, kind) for kind in list(kinds.values())[:4]]
-        yield pa.RecordBatch.from_arrays([*nulls, _packed(total)], schema=schema)
+            nulls = [pa.nulls(len(sizes), kinds[c]) for c in ("slice", "counts")]
+            yield pa.RecordBatch.from_arrays([*columns, *nulls], schema=schema)
+        filled = {i: part for i, part in enumerate(np.array_split(total, SLICES)) if part.any()}
+        nulls = [pa.nulls(len(filled), kind) for kind in list(kinds.values())[:4]]
+        yield pa.RecordBatch.from_arrays([*nulls, *_packed(filled)], schema=schema)
 
-    return texts(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, bits binary, counts binary")
+    return texts(docs).mapInArrow(run, f"doc_id bigint, n_shingles bigint, set_key binary, bits binary, {TABLES}")
 
 
-def _packed(total: np.ndarray) -> pa.Array:
-    return pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary())
+def _packed(slices: dict[int, np.ndarray]) -> list[pa.Array]:
+    """Most counters of one task are 0."""
+    raw = [zlib.compress(np.minimum(part, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for part in slices.values()]
+    return [pa.array(list(slices), pa.int32()), pa.array(raw, pa.binary())]
 
 
 def token_counts(tables: DataFrame) -> np.ndarray:
-    """The counters of all tasks together; a few tasks add them up before the driver gets them."""
+    """The counters of all tasks together: each slice is added up by one task, and the driver gets it once."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        slices: dict[int, np.ndarray] = {}
         for batch in batches:
-            for raw in batch.column("counts").to_pylist():
-                total += np.frombuffer(raw, np.uint32)
-        yield pa.RecordBatch.from_arrays([_packed(total)], names=["counts"])
+            for i, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                slices[i] = slices.get(i, 0) + np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(_packed(slices), names=["slice", "counts"])
 
     total = np.zeros(BUCKETS, np.int64)
-    for row in tables.repartition(8).mapInArrow(add, "counts binary").collect():
-        total += np.frombuffer(row.counts, np.uint32)
+    parts = np.array_split(total, SLICES)
+    for row in tables.repartition("slice").mapInArrow(add, TABLES).collect():
+        parts[row.slice][:] += np.frombuffer(zlib.decompress(row.counts), np.uint32)
     return total
 
 
@@ -385,14 +396,24 @@ def long_links(long_lists: DataFrame, members: DataFrame, width: int, percent: i
 
 
 def _marked_slots(ids: DataFrame) -> np.ndarray:
-    """A table of ``SLOTS`` bits with those of the ids' hashes set."""
+    """A table of ``SLOTS`` bits with those of the ids' hashes set.
+
+    The driver gets its words packed, a row for a batch of them.
+    """
     words = (
         ids.select(_slot().alias("slot")).select(F.shiftright("slot", 6).alias("word"), (F.col("slot") % 64).cast("int").alias("bit"))
-        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
+        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                raw = [batch.column(c).to_numpy().astype(np.int64).tobytes() for c in ("word", "bits")]
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.binary()) for r in raw], names=["word", "bits"])
+
     table = np.zeros(SLOTS // 64, np.int64)
-    for r in words:
-        table[r.word] = r.bits
+    for r in words.mapInArrow(pack, "word binary, bits binary").collect():
+        table[np.frombuffer(r.word, np.int64)] = np.frombuffer(r.bits, np.int64)
     return table
 
 
@@ -473,7 +494,7 @@ def confirmed(pairs: DataFrame, members: DataFrame, width: int, percent: int) ->
 
 def links(docs: DataFrame, marked: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) of set keys: links that connect the classes as all links at the threshold would."""
-    counts = token_counts(marked.filter("counts IS NOT NULL").select("counts"))
+    counts = token_counts(marked.filter("counts IS NOT NULL").select("slice", "counts"))
     classes, _ = stored(
         marked.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy(F.col("set_key").alias("key")).agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")
@@ -506,7 +527,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     both, _ = stored(marked_sets(docs, width), "join-marked")
     found = links(docs, both, width, percent)
-    marked = both.filter("counts IS NULL").drop("counts", "bits")
+    marked = both.filter("counts IS NULL").drop("slice", "counts", "bits")
     known = marked.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key").distinct()
     # An id with several sets joins them.
     together = (

@@ -137,3 +137,23 @@ def test_derived_answers_join_a_group_like_all_pairs():
 
         assert merged(links) == merged(wanted)
         assert set(links) <= {pair for a, b in wanted for pair in ((a, b), (b, a))}
+
+
+def test_the_driver_gets_each_counter_once_and_few_rows(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i % 40}x{j}" for j in range(30))) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    got, collect = [], type(docs).collect
+
+    def counted(df):
+        got.append(collect(df))
+        return got[-1]
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    marked = jaccard_join.marked_sets(docs, 3).cache()
+    counts = jaccard_join.token_counts(marked.filter("counts IS NOT NULL"))
+    assert int(counts.sum()) == 4000 * 28
+    assert sum(len(r.counts) for r in got.pop()) <= 4 * jaccard_join.BUCKETS
+    slots = jaccard_join._marked_slots(docs.select("doc_id"))
+    assert int(np.bitwise_count(slots).sum()) > 3900
+    assert len(got.pop()) < 400
+    marked.unpersist()
