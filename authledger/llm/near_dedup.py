@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from authledger.llm.common import map_texts, stored, texts
+from authledger.llm.common import map_texts, remove, stored, texts
 
 TREES, LEVELS, LEAF, SKETCH, STAR_FROM = 16, 24, 16, 96, 4
 # Levels that are walked in one pass. A pass writes all its levels, also those below nodes that
@@ -186,12 +186,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
         return {"doc_id": ids, "items": [shingles(text, width).view(np.int64).tolist() for text in batch]}
 
-    sets, _ = stored(map_texts(chosen, each, "doc_id bigint, items array<bigint>"), "near-sets")
+    sets, held = stored(map_texts(chosen, each, "doc_id bigint, items array<bigint>"), "near-sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
-    return pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * union).select("a", "b")
+    good = pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * union).select("a", "b")
+    good, _ = stored(good, "near-confirmed")
+    remove(docs.sparkSession, held)
+    return good
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,8 +238,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found: list[DataFrame] = []
     links: list[DataFrame] = []
     active = None
+    # Folders that the next pass has no use for.
+    read: list[str] = []
     for levels in ROUNDS:
-        rows, _ = stored(_nodes(classes, levels, active), "near-nodes")
+        rows, held = stored(_nodes(classes, levels, active), "near-nodes")
+        remove(docs.sparkSession, *read)
+        read = [held]
         sizes, _ = stored(
             rows.groupBy("node")
             .agg(F.count("*").alias("members"), F.min("id").alias("first"), F.first("level").alias("level"), F.first("parent").alias("parent"))
@@ -256,8 +263,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             break
         active = rows.join(last, "node").select("tree", "node", "id", "first")
         if levels[-1] + 1 >= STAR_FROM:
+            # The steps below read it several times.
+            active, large_held = stored(active, "near-large")
+            remove(docs.sparkSession, held)
+            read = [large_held]
             star = active.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-            good, _ = stored(confirm(star, docs, width, percent), "near-star")
+            good = confirm(star, docs, width, percent)
             links.append(good)
             failed = active.filter("id <> first").join(
                 good.select(F.col("a").alias("first"), F.col("b").alias("id")), ["first", "id"], "left_anti"
@@ -270,7 +281,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 found.append(rest.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
                 break
             active = active.join(open_nodes.select("node").distinct(), "node")
-        active, _ = stored(active.select("tree", "node", "id"), "near-active")
+        active, held = stored(active.select("tree", "node", "id"), "near-active")
+        remove(docs.sparkSession, *read)
+        read = [held]
     pairs, _ = stored(reduce(DataFrame.union, found).distinct(), "near-candidates")
     links.append(confirm(pairs, docs, width, percent))
     joined = components(stored(reduce(DataFrame.union, links).distinct(), "near-links")[0])

@@ -85,6 +85,21 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert all(r.kept for r in found if r.doc_id >= 1000)
 
 
+def test_links_to_the_smallest_of_a_large_node_are_joined_once(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[: i % 190], f"edit{i}", *base[i % 190 + 1 :]])) for i in range(100)]
+    plans, confirm = [], near_dedup.confirm
+
+    def seen(pairs, *args):
+        plans.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return confirm(pairs, *args)
+
+    monkeypatch.setattr(near_dedup, "confirm", seen)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.component_id for r in found} == {0}
+    assert len(plans) > 1 and not any("Join" in plan for plan in plans)
+
+
 def test_hits_match_brute_force():
     match = decontamination.Matcher([(1, PLAIN.encode()), (2, b"one two")])
     text = ("Intro, ONE-Two; " + PLAIN.title() + "! one. tw").encode()
