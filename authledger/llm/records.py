@@ -83,7 +83,8 @@ class Encoder:
     The tokenizer drops white space before it looks for tokens, so that none spans any and a
     text's ids are those of its words in a row. Words that are not remembered go to the
     library many at a time, with a special token between them; words that may hold a special
-    token themselves go alone. Letters with marks behind them are two tokens' worth, whatever the
+    token themselves go alone. Words of letters have a comma between them instead, which is cheaper
+    for the library. Letters with marks behind them are two tokens' worth, whatever the
     case of the letters. When the memory is full, what has not been met since it was full the last
     time is forgotten, which costs time only.
     """
@@ -111,51 +112,70 @@ class Encoder:
         special = sorted((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
         self.between = special[0] if special else None
         self.starts = {name[:2].encode() for name, _ in special}
+        first, comma, both = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", ",", "a , a"))
+        # A comma that is one token of its own: no token of letters holds it.
+        self.comma = comma[0] if len(comma) == 1 and both == first + comma + first else None
 
     def _learn(self, words: set[bytes]) -> None:
         """Remember these words: those of letters by their lower case and their marks."""
-        known, older, parts, need = self.known, self.older, [], set()
+        known, older, parts, plain, need = self.known, self.older, [], set(), set()
         for w in words:
             before = older.get(w)
             if before is not None:
                 known[w] = before
                 continue
             letters = w.rstrip(self.MARKS).lower()
+            if not (letters.isalpha() if letters.isascii() else _only_letters(letters)):
+                need.add(w)
+                continue
             marks = w[len(letters) :]
-            if _only_letters(letters):
+            if letters not in known:
+                if letters in older:
+                    known[letters] = older[letters]
+                else:
+                    plain.add(letters)
+            if marks and marks not in known:
+                need.add(marks)
+            if letters != w:
                 parts.append((w, letters, marks))
-                for p in (letters, marks):
-                    if p not in known:
-                        if p in older:
-                            known[p] = older[p]
-                        else:
-                            need.add(p)
-            else:
-                need.add(w)
-        need.discard(b"")
+        if self.comma is None:
+            need |= plain
+        else:
+            self._ask_together(list(plain), " , ", self.comma)
         self._ask(list(need))
         for w, letters, marks in parts:
-            known[w] = known[letters] + (known[marks] if marks else b"")
+            known[w] = known[letters] + known[marks] if marks else known[letters]
+
+    def _alone(self, words: list[bytes]) -> list[bytes]:
+        """The words that may hold a special token."""
+        if self.between is None:
+            return words
+        together = b" ".join(words)
+        starts = [s for s in self.starts if s in together]
+        return [w for w in words if any(s in w for s in starts)] if starts else []
 
     def _ask(self, words: list[bytes]) -> None:
-        alone = [w for w in words if self.between is None or any(s in w for s in self.starts)]
+        alone = self._alone(words)
         for w, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in alone], add_special_tokens=False), strict=True):
             self.known[w] = np.array(found.ids, self.kind).tobytes()
-        if self.between is None:
-            return
-        name, mark = self.between
-        plain = list(set(words).difference(alone))
-        for start in range(0, len(plain), self.AT_ONCE):
-            part = plain[start : start + self.AT_ONCE]
-            joined = name.join(w.decode(errors="replace") for w in part)
+        if self.between is not None:
+            self._ask_together(list(set(words).difference(alone)) if alone else words, *self.between)
+
+    def _ask_together(self, words: list[bytes], between: str, mark: int) -> None:
+        """Ask for words in which the token ``mark``, which is what ``between`` gives, cannot occur."""
+        known, width = self.known, self.width
+        for start in range(0, len(words), self.AT_ONCE):
+            part = words[start : start + self.AT_ONCE]
+            # What stands between is ASCII, so that no damaged character reaches over it.
+            joined = between.encode().join(part).decode(errors="replace")
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
-            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
-            if len(ends) != len(part):
+            data, marked = ids.tobytes(), np.flatnonzero(ids == mark) * width
+            if len(marked) + 1 != len(part):
                 raise ValueError("words and their ids do not match")
             first = 0
-            for w, end in zip(part, ends, strict=True):
-                self.known[w] = ids[first:end].tobytes()
-                first = end + 1
+            for w, end in zip(part, [*marked.tolist(), len(data)], strict=True):
+                known[w] = data[first:end]
+                first = end + width
 
     def ids(self, text: bytes) -> bytes:
         return self.ids_of([text])[0]

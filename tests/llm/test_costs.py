@@ -44,6 +44,24 @@ def test_new_words_of_a_piece_are_learnt_together(monkeypatch):
     assert together.ids_of([*batch, b"unseen"])[:-1] == got
 
 
+def test_words_of_letters_are_asked_for_without_special_tokens():
+    encoder = records.Encoder(tokenizer("word_bpe_49k.json"))
+    encoder.load()
+    library, asked = encoder.tokenizer, []
+
+    class Seen:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Seen()
+    batch = ["Plain été, words! İx 字か a,b 3,4 , .,. it's e\u0301t ‑".encode(), b"<|endoftext|>x \xff,\xfe <| more, words"]
+    got = [records.np.frombuffer(ids, encoder.kind).tolist() for ids in encoder.ids_of(batch)]
+    assert got == [library.encode(t.decode(errors="replace"), add_special_tokens=False).ids for t in batch]
+    plain = [t for t in asked if "words" in t]
+    assert plain and not any(encoder.between[0] in t for t in plain)
+
+
 def test_pieces_are_bounded_by_rows_and_bytes():
     texts = [b"x" * 10, None, b"y" * 300, b"", *[b"z"] * 70]
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(74)), "text": pa.array(texts, pa.binary())})
