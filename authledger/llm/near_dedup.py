@@ -40,6 +40,8 @@ TREES, LEVELS, LEAF, SKETCH, STAR_FROM = 16, 24, 16, 96, 4
 # Levels that are walked in one pass. A pass writes all its levels, also those below nodes that
 # have become small, so that few levels a pass keep the rows of a large group few.
 ROUNDS = (range(0, 1), range(1, 4), range(4, 6), range(6, 9), range(9, 12), range(12, 16), range(16, LEVELS))
+# Bits that tell which ids a join wants.
+SLOTS = 1 << 24
 # Distances from the threshold, in similarity, below and above which sketches decide.
 BELOW, ABOVE = 0.13, 0.10
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -77,23 +79,48 @@ def sketch(items: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch) of every document."""
+    """(doc_id, n_shingles, set_key, sketch, low) of every document; ``low`` has the low byte of each value."""
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
         sets = [shingles(text, width) for text in batch]
+        drawn = [sketch(s) if len(s) else None for s in sets]
         return {
             "doc_id": ids,
             "n_shingles": [len(s) for s in sets],
             "set_key": [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-            "sketch": [sketch(s).tobytes() if len(s) else None for s in sets],
+            "sketch": [s if s is None else s.tobytes() for s in drawn],
+            "low": [s if s is None else s.astype(np.uint8).tobytes() for s in drawn],
         }
 
-    return map_texts(docs, each, "doc_id bigint, n_shingles bigint, set_key binary, sketch binary")
+    return map_texts(docs, each, "doc_id bigint, n_shingles bigint, set_key binary, sketch binary, low binary")
+
+
+def _among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is in the first column of ``ids``, and some others: an exact join has to follow.
+
+    It spares that join the shuffle of wide rows that it drops. The ids become ``SLOTS`` bits, 2 MB
+    whatever their number, so that more ids let more other rows pass, never fewer of their own.
+    """
+    slot = f"pmod(xxhash64(CAST({{}} AS BIGINT)), {SLOTS})"
+    words = ids.selectExpr(f"{slot.format(f'`{ids.columns[0]}`')} AS slot").groupBy(F.expr("shiftright(slot, 6)").alias("word"))
+    words = words.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("bits"))
+    chunks = words.groupBy(F.expr("shiftright(word, 8)").alias("chunk")).agg(
+        F.expr("map_from_entries(collect_list(struct(CAST(word % 256 AS INT) AS at, bits)))").alias("found")
+    )
+    chunks = chunks.selectExpr("chunk", "transform(sequence(0, 255), at -> coalesce(found[at], 0L)) AS words")
+    at = slot.format(f"`{column}`")
+    return (
+        rows.join(F.broadcast(chunks), F.expr(f"shiftright({at}, 14) = chunk"))
+        .filter(f"words[CAST(shiftright({at}, 6) % 256 AS INT)] & shiftleft(1L, CAST({at} % 64 AS INT)) <> 0")
+        .select(*[rows[c] for c in rows.columns])
+    )
 
 
 def _nodes(classes: DataFrame, levels: range, active: DataFrame | None) -> DataFrame:
     """(id, tree, level, node, parent) at some levels: from the roots, or from the active nodes down."""
-    source, top = (classes.select("id", "sketch"), True) if active is None else (classes.join(active, "id"), False)
+    source, top = classes.select("id", "sketch"), active is None
+    if not top:
+        source = _among(source, "id", active.select("id")).join(active, "id")
     schema = "id bigint, tree int, level int, node bigint, parent bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +193,12 @@ def _leaf_batch(rows: pa.Table, least: float, last: bool) -> tuple[pa.RecordBatc
     node = rows.column("node").to_numpy()
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else []
     ends = [*starts[1:], len(node)]
-    ids, n, raw = rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("sketch").to_pylist()
+    ids, n, raw = rows.column("id").to_numpy(), rows.column("n").to_numpy(), rows.column("low").to_pylist()
     pairs: list[tuple[int, int]] = []
     upto = len(starts) if last else max(0, len(starts) - 1)
     for start, end in zip(starts[:upto], ends[:upto], strict=True):
         if end - start > 1:
-            low = np.frombuffer(b"".join(raw[start:end]), np.uint32).reshape(-1, SKETCH).astype(np.uint8)
+            low = np.frombuffer(b"".join(raw[start:end]), np.uint8).reshape(-1, SKETCH)
             pairs += _compare(ids[start:end], n[start:end], low, least)
     used = int(ends[upto - 1]) if upto else 0
     a, b = ([p[i] for p in pairs] for i in (0, 1))
@@ -180,20 +207,21 @@ def _leaf_batch(rows: pa.Table, least: float, last: bool) -> tuple[pa.RecordBatc
 
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity; the sets come from the whole texts."""
-    members = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    chosen = texts(docs).join(members, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    members, listed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-members")
+    wanted = _among(texts(docs), "doc_id", members).join(members, "doc_id", "left_semi")
+    chosen = wanted.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def each(ids: list[int | None], batch: list[bytes]) -> dict[str, list]:
         return {"doc_id": ids, "items": [shingles(text, width).view(np.int64).tolist() for text in batch]}
 
     sets, held = stored(map_texts(chosen, each, "doc_id bigint, items array<bigint>"), "near-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
+    left = _among(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a", pairs.select("a"))
+    right = _among(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b", pairs.select("b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
     good = pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * union).select("a", "b")
     good, _ = stored(good, "near-confirmed")
-    remove(docs.sparkSession, held)
+    remove(docs.sparkSession, held, listed)
     return good
 
 
@@ -232,7 +260,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes, _ = stored(
         marked.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("sketch", "low"))),
         "near-classes",
     )
     found: list[DataFrame] = []
@@ -256,8 +284,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         small = small.filter(F.col("level") == levels[0]).select("node").unionByName(
             small.join(large.select(F.col("node").alias("parent")), "parent", "left_semi").select("node")
         )
-        leaves = rows.join(small, "node").select("node", "id").join(classes.select("id", "n", "sketch"), "id")
-        found.append(stored(_leaf_pairs(leaves, least), "near-pairs")[0])
+        leaves, leaves_held = stored(rows.join(small, "node").select("id", "node"), "near-leaves")
+        compared = _among(classes.select("id", "n", "low"), "id", leaves).join(leaves, "id")
+        found.append(stored(_leaf_pairs(compared, least), "near-pairs")[0])
+        remove(docs.sparkSession, leaves_held)
         last = large.filter(F.col("level") == levels[-1]).select("node", "first")
         if last.isEmpty():
             break
@@ -291,7 +321,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "set_key", F.coalesce("component", "id").alias("root")
     )
     component = F.coalesce("root", "doc_id")
-    return marked.drop("sketch").join(roots, "set_key", "left").select(
+    return marked.drop("sketch", "low").join(roots, "set_key", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )

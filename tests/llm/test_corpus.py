@@ -100,6 +100,28 @@ def test_links_to_the_smallest_of_a_large_node_are_joined_once(spark, monkeypatc
     assert len(plans) > 1 and not any("Join" in plan for plan in plans)
 
 
+def test_only_texts_that_may_be_wanted_are_shuffled(spark):
+    rows = spark.range(20000).selectExpr("CAST(id AS INT) AS doc_id", "concat('t', id) AS text").unionByName(
+        spark.createDataFrame([(None, "none"), (7, "again")], "doc_id int, text string")
+    )
+    ids = spark.createDataFrame([(i,) for i in range(0, 20000, 40)] + [(7,), (99999,)], "id bigint")
+    among = near_dedup._among(rows, "doc_id", ids)
+    assert among.columns == rows.columns
+    got = [tuple(r) for r in among.collect()]
+    assert {(i, f"t{i}") for i in range(0, 20000, 40)} | {(7, "t7"), (7, "again")} <= set(got)
+    assert len(got) < 600
+    assert near_dedup._among(rows, "doc_id", ids.filter("id < 0")).isEmpty()
+
+
+def test_leaves_are_compared_by_the_low_bytes_alone(spark, monkeypatch):
+    columns, compare = [], near_dedup._leaf_pairs
+    monkeypatch.setattr(near_dedup, "_leaf_pairs", lambda leaves, least: (columns.append(set(leaves.columns)), compare(leaves, least))[1])
+    rows = [(i, words(60, "w") + f" end{i}") for i in range(5)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.component_id for r in found} == {0}
+    assert columns and all(c == {"id", "node", "n", "low"} for c in columns)
+
+
 def test_hits_match_brute_force():
     match = decontamination.Matcher([(1, PLAIN.encode()), (2, b"one two")])
     text = ("Intro, ONE-Two; " + PLAIN.title() + "! one. tw").encode()
