@@ -27,7 +27,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
+from pyarrow import compute as pc, fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from authledger.llm.common import sent, texts
@@ -83,10 +83,11 @@ class Encoder:
     The tokenizer drops white space before it looks for tokens, so that none spans any and a
     text's ids are those of its words in a row. Words that are not remembered go to the
     library many at a time, with a special token between them; words that may hold a special
-    token themselves go alone. Words of letters have a comma between them instead, which is cheaper
-    for the library. Letters with marks behind them are two tokens' worth, whatever the
+    token themselves go alone. Words of letters have a space or a comma between them instead, which
+    is cheaper for the library. Letters with marks behind them are two tokens' worth, whatever the
     case of the letters. When the memory is full, what has not been met since it was full the last
-    time is forgotten, which costs time only.
+    time is forgotten, which costs time only. The memory is asked once for each distinct word of
+    some texts; Arrow numbers the words, and the ids of the texts are gathered by these numbers.
     """
 
     KEPT, AT_ONCE = 700_000, 2048
@@ -115,6 +116,13 @@ class Encoder:
         first, comma, both = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", ",", "a , a"))
         # A comma that is one token of its own: no token of letters holds it.
         self.comma = comma[0] if len(comma) == 1 and both == first + comma + first else None
+        # Tokens that only the end of a piece can have, where the vocabulary marks them.
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = None
+        if suffix:
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _learn(self, words: set[bytes]) -> None:
         """Remember these words: those of letters by their lower case and their marks."""
@@ -141,7 +149,7 @@ class Encoder:
         if self.comma is None:
             need |= plain
         else:
-            self._ask_together(list(plain), " , ", self.comma)
+            self._ask_letters(list(plain))
         self._ask(list(need))
         for w, letters, marks in parts:
             known[w] = known[letters] + known[marks] if marks else known[letters]
@@ -161,6 +169,24 @@ class Encoder:
         if self.between is not None:
             self._ask_together(list(set(words).difference(alone)) if alone else words, *self.between)
 
+    def _ask_letters(self, words: list[bytes]) -> None:
+        """Ask for words of letters: by the tokens that end a word, where each has one such token."""
+        known, width = self.known, self.width
+        for start in range(0, len(words), self.AT_ONCE):
+            part = words[start : start + self.AT_ONCE]
+            ends = []
+            if self.last is not None:
+                ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode(errors="replace")], add_special_tokens=False)[0].ids, self.kind)
+                ends = ((np.flatnonzero(self.last[ids]) + 1) * width).tolist()
+            # A word has one such token at least, so that with as many as words each has its own.
+            if len(ends) != len(part):
+                self._ask_together(part, " , ", self.comma)
+                continue
+            data, first = ids.tobytes(), 0
+            for w, end in zip(part, ends, strict=True):
+                known[w] = data[first:end]
+                first = end
+
     def _ask_together(self, words: list[bytes], between: str, mark: int) -> None:
         """Ask for words in which the token ``mark``, which is what ``between`` gives, cannot occur."""
         known, width = self.known, self.width
@@ -183,18 +209,31 @@ class Encoder:
     def ids_of(self, batch: list[bytes]) -> list[bytes]:
         """Ids of some texts; the words that are new in any of them are learnt together."""
         # ASCII white space only: what else counts as space is the tokenizer's affair.
-        words = [text.split() for text in batch]
-        new = set().union(*words).difference(self.known)
-        if new:
+        raw = pa.array(batch, pa.large_binary())
+        lists = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(raw), raw.buffers()))
+        numbered = lists.values.dictionary_encode()
+        words = numbered.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        # What stands before the first and behind the last white space may be empty.
+        self.known[b""] = b""
+        found = list(map(self.known.get, words))
+        if None in found:
+            new = {w for w, ids in zip(words, found, strict=True) if ids is None}
             if len(self.known) > self.KEPT:
-                self.known, self.older = {}, self.known
-                new = set().union(*words)
+                self.known, self.older = {b"": b""}, self.known
+                new = set(words).difference(self.known)
             self._learn(new)
-        known = self.known.__getitem__
-        return [b"".join(map(known, w)) for w in words]
-
-
-def pieces(batch: pa.RecordBatch, rows: int = 64, size: int = 1 << 20) -> Iterator[list[tuple[int | None, bytes]]]:
+            found = list(map(self.known.__getitem__, words))
+        pool = np.frombuffer(b"".join(found), self.kind)
+        n = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        at, number = np.cumsum(n) - n, numbered.indices.to_numpy()
+        each = n[number]
+        ends = np.cumsum(each)
+        ids = pool[np.repeat(at[number] - ends + each, each) + np.arange(len(number) and ends[-1])].tobytes()
+        bounds = (np.r_[0, ends][lists.offsets.to_numpy()] * self.width).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def pieces(batch: pa.RecordBatch, rows: int = 1024, size: int = 4 << 20) -> Iterator[list[tuple[int | None, bytes]]]:
     """(doc_id, text) in runs of at most ``rows`` rows; a run ends with the text that brings it to ``size`` bytes."""
     run, held = [], 0
     for start in range(0, batch.num_rows, rows):

@@ -68,3 +68,46 @@ def test_pieces_are_bounded_by_rows_and_bytes():
     found = list(records.pieces(batch, 64, 200))
     assert [row for piece in found for row in piece] == [(i, t or b"") for i, t in enumerate(texts)]
     assert [len(piece) for piece in found] == [3, 64, 7]
+
+
+def test_the_memory_of_words_is_asked_once_for_each_word_of_a_piece():
+    class Memory(dict):
+        asked = 0
+
+        def get(self, word, default=None):
+            Memory.asked += 1
+            return super().get(word, default)
+
+        def __getitem__(self, word):
+            Memory.asked += 1
+            return super().__getitem__(word)
+
+    encoder = records.Encoder(tokenizer("word_bpe_49k.json"))
+    encoder.load()
+    batch = [b" the same words\tagain " * 50, b"", b"\n", "the été".encode()] * 20
+    expected = encoder.ids_of(batch)
+    assert expected == [encoder.ids(text) for text in batch]
+    encoder.known = Memory(encoder.known)
+    assert encoder.ids_of(batch) == expected
+    assert Memory.asked <= 6
+
+
+def test_words_of_letters_are_told_apart_by_their_last_tokens():
+    encoder = records.Encoder(tokenizer("word_bpe_49k.json"))
+    encoder.load()
+    library, asked = encoder.tokenizer, []
+
+    class Seen:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Seen()
+    words = [f"{w}{x}" for w in ("plain", "unhewnly", "été", "straße", "か") for x in ("", "ing", "tionly")]
+    got = encoder.ids_of([" ".join(words).encode()])[0]
+    assert records.np.frombuffer(got, encoder.kind).tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+    assert len(asked) == 1 and "," not in asked[0]
+    # Without such tokens in the vocabulary a comma stands between them.
+    encoder.known, encoder.last = {}, None
+    assert encoder.ids_of([" ".join(words).encode()])[0] == got
+    assert " , " in asked[-1]
