@@ -102,16 +102,14 @@ def _among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     whatever their number, so that more ids let more other rows pass, never fewer of their own.
     """
     slot = f"pmod(xxhash64(CAST({{}} AS BIGINT)), {SLOTS})"
-    words = ids.selectExpr(f"{slot.format(f'`{ids.columns[0]}`')} AS slot").groupBy(F.expr("shiftright(slot, 6)").alias("word"))
-    words = words.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("bits"))
-    chunks = words.groupBy(F.expr("shiftright(word, 8)").alias("chunk")).agg(
-        F.expr("map_from_entries(collect_list(struct(CAST(word % 256 AS INT) AS at, bits)))").alias("found")
-    )
-    chunks = chunks.selectExpr("chunk", "transform(sequence(0, 255), at -> coalesce(found[at], 0L)) AS words")
+    found = ids.selectExpr(f"{slot.format(f'`{ids.columns[0]}`')} AS slot").groupBy(F.expr("shiftright(slot, 15)").alias("chunk"))
+    # One aggregate, and so one shuffle: a bitmap of 4 KB for each 32,768 slots.
+    chunks = found.agg(F.expr("bitmap_construct_agg(slot & 32767L)").alias("bits"))
     at = slot.format(f"`{column}`")
+    byte = f"substring(bits, CAST(shiftright({at} & 32767L, 3) AS INT) + 1, 1)"
     return (
-        rows.join(F.broadcast(chunks), F.expr(f"shiftright({at}, 14) = chunk"))
-        .filter(f"words[CAST(shiftright({at}, 6) % 256 AS INT)] & shiftleft(1L, CAST({at} % 64 AS INT)) <> 0")
+        rows.join(F.broadcast(chunks), F.expr(f"shiftright({at}, 15) = chunk"))
+        .filter(f"getbit(CAST(conv(hex({byte}), 16, 10) AS INT), CAST({at} & 7L AS INT)) = 1")
         .select(*[rows[c] for c in rows.columns])
     )
 
@@ -205,8 +203,8 @@ def _leaf_batch(rows: pa.Table, least: float, last: bool) -> tuple[pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]), used
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity; the sets come from the whole texts."""
+def member_sets(pairs: DataFrame, docs: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """(doc_id, items) of all that the pairs name, from the whole texts; stored, with its folder."""
     members, listed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-members")
     wanted = _among(texts(docs), "doc_id", members).join(members, "doc_id", "left_semi")
     chosen = wanted.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -215,13 +213,23 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
         return {"doc_id": ids, "items": [shingles(text, width).view(np.int64).tolist() for text in batch]}
 
     sets, held = stored(map_texts(chosen, each, "doc_id bigint, items array<bigint>"), "near-sets")
+    remove(docs.sparkSession, listed)
+    return sets, held
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity; ``sets`` has those of all members, if they are there."""
+    held = []
+    if sets is None:
+        sets, folder = member_sets(pairs, docs, width)
+        held.append(folder)
     left = _among(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a", pairs.select("a"))
     right = _among(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b", pairs.select("b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - common
     good = pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * union).select("a", "b")
     good, _ = stored(good, "near-confirmed")
-    remove(docs.sparkSession, held, listed)
+    remove(docs.sparkSession, *held)
     return good
 
 
@@ -264,10 +272,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "near-classes",
     )
     found: list[DataFrame] = []
+    # Small nodes of all passes; what they hold is compared once, when the last pass is done.
+    leaves: list[DataFrame] = []
     links: list[DataFrame] = []
     active = None
     # Folders that the next pass has no use for.
     read: list[str] = []
+    kept: list[str] = []
+    # Full sets of the members of large nodes. Later passes have the same members or fewer.
+    sets: DataFrame | None = None
     for levels in ROUNDS:
         rows, held = stored(_nodes(classes, levels, active), "near-nodes")
         remove(docs.sparkSession, *read)
@@ -284,10 +297,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         small = small.filter(F.col("level") == levels[0]).select("node").unionByName(
             small.join(large.select(F.col("node").alias("parent")), "parent", "left_semi").select("node")
         )
-        leaves, leaves_held = stored(rows.join(small, "node").select("id", "node"), "near-leaves")
-        compared = _among(classes.select("id", "n", "low"), "id", leaves).join(leaves, "id")
-        found.append(stored(_leaf_pairs(compared, least), "near-pairs")[0])
-        remove(docs.sparkSession, leaves_held)
+        leaf, held_leaf = stored(rows.join(small, "node").select("id", "node"), "near-leaves")
+        leaves.append(leaf)
+        kept.append(held_leaf)
         last = large.filter(F.col("level") == levels[-1]).select("node", "first")
         if last.isEmpty():
             break
@@ -298,7 +310,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             remove(docs.sparkSession, held)
             read = [large_held]
             star = active.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-            good = confirm(star, docs, width, percent)
+            star, star_held = stored(star, "near-star")
+            if sets is None:
+                sets, sets_held = member_sets(star, docs, width)
+                kept.append(sets_held)
+            good = confirm(star, docs, width, percent, sets)
+            remove(docs.sparkSession, star_held)
             links.append(good)
             failed = active.filter("id <> first").join(
                 good.select(F.col("a").alias("first"), F.col("b").alias("id")), ["first", "id"], "left_anti"
@@ -314,7 +331,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         active, held = stored(active.select("tree", "node", "id"), "near-active")
         remove(docs.sparkSession, *read)
         read = [held]
+    leaf = reduce(DataFrame.union, leaves)
+    compared = _among(classes.select("id", "n", "low"), "id", leaf).join(leaf, "id")
+    found.append(_leaf_pairs(compared, least))
     pairs, _ = stored(reduce(DataFrame.union, found).distinct(), "near-candidates")
+    remove(docs.sparkSession, *kept, *read)
     links.append(confirm(pairs, docs, width, percent))
     joined = components(stored(reduce(DataFrame.union, links).distinct(), "near-links")[0])
     roots = classes.select("set_key", "id").join(joined, "id", "left").select(

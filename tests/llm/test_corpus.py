@@ -379,3 +379,31 @@ def test_pipeline_stages_decide_what_goes_on(spark, sample):
         docs = made
     whole = corpus_pipeline.run(spark, sample)
     assert whole.count() == made.count() and {r.doc_id for r in whole.collect()} == after
+
+
+def test_near_duplicates_reads_the_texts_of_large_nodes_once(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(400), i % 12):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    seen, compared, made, compare = [], [], near_dedup.map_texts, near_dedup._leaf_pairs
+    monkeypatch.setattr(near_dedup, "map_texts", lambda docs, each, schema: (seen.append(schema), made(docs, each, schema))[1])
+    monkeypatch.setattr(near_dedup, "_leaf_pairs", lambda leaves, least: (compared.append(1), compare(leaves, least))[1])
+    monkeypatch.setattr(near_dedup, "LEAF", 2)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    sets = {i: set(near_dedup.shingles(text.encode(), 3).tolist()) for i, text in rows}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    assert {r.doc_id: r.component_id for r in found} == root
+    # Sketches, sets of the members of large nodes, sets of the candidates; the leaves of all passes together.
+    assert len(seen) == 3 and len(compared) == 1
